@@ -77,18 +77,29 @@ def query_params(uri: Column) -> Column:
     entries = F.transform(
         F.filter(pairs, lambda p: p != ""),
         lambda p: F.struct(
-            F.get(F.split(p, "="), F.lit(0)).alias("key"),
-            F.try_url_decode(F.nullif(F.get(F.split(p, "="), F.lit(1)), F.lit(""))).alias(
+            F.split_part(p, F.lit("="), F.lit(1)).alias("key"),
+            F.try_url_decode(F.nullif(F.split_part(p, F.lit("="), F.lit(2)), F.lit(""))).alias(
                 "value"
             ),
         ),
     )
-    names = F.transform(entries, lambda e: e["key"])
-    last_of_name = F.filter(
+    # Each _let evaluates its array once per line; lambdas would repeat it per entry.
+    return _let(
         entries,
-        lambda e, i: i == F.size(names) - F.array_position(F.reverse(names), e["key"]),
+        lambda all_entries: _let(
+            F.reverse(F.transform(all_entries, lambda e: e["key"])),
+            lambda names: F.map_from_entries(
+                F.filter(
+                    all_entries,
+                    lambda e, i: i == F.size(names) - F.array_position(names, e["key"]),
+                )
+            ),
+        ),
     )
-    return F.map_from_entries(last_of_name)
+
+
+def _let(value: Column, body) -> Column:
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def parse_tracking_log(lines: DataFrame, value: str) -> DataFrame:

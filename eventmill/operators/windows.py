@@ -55,22 +55,32 @@ def sliding_aggregate(
     panes = df.groupBy(*keys, floor_div(epoch(ts) - offset, pane).alias("_pane")).agg(
         *[_PARTIAL[how](column).alias(name) for name, (how, column) in aggs.items()]
     )
-    if pane == size:
+    return merge_panes(panes, size, slide, keys, {n: how for n, (how, _) in aggs.items()}, offset)
+
+
+def merge_panes(
+    panes: DataFrame,
+    size: int,
+    slide: int,
+    keys: Sequence[str],
+    aggs: dict[str, str],
+    offset: int = 0,
+) -> DataFrame:
+    """Windows from pane partials; ``_pane`` counts panes of gcd(size, slide) seconds."""
+    pane = math.gcd(size, slide)
+    if pane == size == slide:
         ends = panes.withColumn("window_end", (F.col("_pane") + 1) * size + offset)
         return ends.drop("_pane")
     first = -floor_div(-(F.col("_pane") + 1) * pane, slide)
     last = floor_div(F.col("_pane") * pane + size, slide)
     # A slide above the size leaves gaps: such panes belong to no window.
     expanded = (
-        panes.withColumn("_ends", F.sequence(first, last))
-        if slide <= size
-        else panes.filter(first <= last).withColumn("_ends", F.sequence(first, last))
-    )
-    expanded = expanded.withColumn("_end", F.explode("_ends")).withColumn(
-        "window_end", F.col("_end") * slide + offset
+        panes.filter(first <= last)
+        .withColumn("_end", F.explode(F.sequence(first, last)))
+        .withColumn("window_end", F.col("_end") * slide + offset)
     )
     return expanded.groupBy(*keys, "window_end").agg(
-        *[_MERGE[how](name).alias(name) for name, (how, _) in aggs.items()]
+        *[_MERGE[how](name).alias(name) for name, how in aggs.items()]
     )
 
 

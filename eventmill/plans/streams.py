@@ -1 +1,570 @@
-"""Queries of this family."""
+"""Streaming forms over the file stream of a table.
+
+Each drains what is available and returns the closed part of its result, which
+must equal the batch form. The watermark follows the rows that reach it, so row
+filters come first in both forms.
+"""
+
+import math
+
+from pyspark.sql import functions as F
+
+from eventmill.functions.parse import parse_json_order
+from eventmill.operators.windows import closed_windows, merge_panes, top_n_per_window
+from eventmill.plans.registry import query
+from eventmill.plans.windows import sliding_sql
+from eventmill.session import use_rocksdb_state, work_dir
+from eventmill.sinks.tables import messages
+from eventmill.sources.readers import message_values, stream_source
+from eventmill.sources.tables import table, table_stream, with_item
+from eventmill.streaming import drain, ordered, windowed
+
+HOUR, DAY = 3600, 86400
+
+
+def closed_sql(sql, delay, where="true", column="window_end * 1000000"):
+    return (
+        f"SELECT * FROM ({sql}) WHERE {column} <= (SELECT max(epoch_us(ts)) FROM events "
+        f"WHERE {where}) - {delay * 1000000}"
+    )
+
+
+def events(spark, sf_dir):
+    use_rocksdb_state(spark)
+    return table_stream(spark, sf_dir, "events")
+
+
+def views(spark, sf_dir):
+    return with_item(events(spark, sf_dir)).filter(F.col("event_type") == "view")
+
+
+VIEWS = "event_type = 'view'"
+HOURLY_VIEWS = (
+    "SELECT (t // 3600 + 1) * 3600 AS window_end, count(*) AS cnt FROM {EV} "
+    "WHERE event_type = 'view' GROUP BY 1"
+)
+
+
+@query("wm_ascending", closed_sql(HOURLY_VIEWS, 0, VIEWS))
+def wm_ascending(spark, sf_dir):
+    stream = windowed.ascending(views(spark, sf_dir), "ts")
+    return drain.drain_append(windowed.window_counts(stream, "ts", HOUR), "wm-ascending")
+
+
+@query("wm_bounded", closed_sql(HOURLY_VIEWS, 10, VIEWS))
+def wm_bounded(spark, sf_dir):
+    stream = windowed.bounded(views(spark, sf_dir), "ts", 10)
+    return drain.drain_append(windowed.window_counts(stream, "ts", HOUR), "wm-bounded")
+
+
+@query("wm_periodic_punctuated", closed_sql(HOURLY_VIEWS, 60, VIEWS))
+def wm_periodic_punctuated(spark, sf_dir):
+    """Only views move the watermark, by their time less a minute; counts of these marks."""
+    marked = windowed.punctuated(
+        events(spark, sf_dir), "ts", F.col("event_type") == "view", 60
+    )
+    marks = marked.filter(F.col("mark_ts").isNotNull())
+    return drain.drain_append(windowed.window_counts(marks, "mark_ts", HOUR), "wm-punctuated")
+
+
+@query("late_allowed", HOURLY_VIEWS)
+def late_allowed(spark, sf_dir):
+    """Update mode: a window's count is refreshed by late rows while it is open."""
+    stream = windowed.bounded(views(spark, sf_dir), "ts", 10, lateness=60)
+    batches = drain.drain_batches(
+        windowed.window_counts(stream, "ts", HOUR), "late-allowed", "update",
+        "cnt bigint, window_end bigint",
+    )
+    return drain.final_values(batches, ["window_end"])
+
+
+UV = (
+    "SELECT (t // 3600 + 1) * 3600 AS window_end, count(DISTINCT user_id) AS uv FROM {EV} "
+    "WHERE event_type = 'view' GROUP BY 1"
+)
+
+
+@query("win_tumbling_uv_stream", closed_sql(UV, 60, VIEWS))
+def win_tumbling_uv_stream(spark, sf_dir):
+    stream = windowed.bounded(views(spark, sf_dir), "ts", 60)
+    return drain.drain_append(
+        windowed.unique_visitors(stream, "ts", "user_id", HOUR), "uv-stream"
+    )
+
+
+@query("win_tumbling_uv_bitmap_stream", UV)
+def win_tumbling_uv_bitmap_stream(spark, sf_dir):
+    stream = windowed.bounded(views(spark, sf_dir), "ts", 60)
+    batches = drain.drain_batches(
+        windowed.unique_visitor_bits(stream, "ts", "user_id", HOUR), "uv-bits", "update",
+        "window_end bigint, bucket bigint, bits bigint",
+    )
+    bits = drain.final_values(batches, ["window_end", "bucket"])
+    return bits.groupBy("window_end").agg(F.sum("bits").alias("uv"))
+
+
+@query(
+    "win_sliding_pv_stream",
+    closed_sql(
+        sliding_sql(HOUR, 300, "window_end, count(*) AS cnt", "window_end", VIEWS), 60, VIEWS
+    ),
+)
+def win_sliding_pv_stream(spark, sf_dir):
+    stream = windowed.bounded(views(spark, sf_dir), "ts", 60)
+    return drain.drain_append(windowed.window_counts(stream, "ts", HOUR, 300), "pv-stream")
+
+
+@query(
+    "win_sliding_by_province_stream",
+    closed_sql(
+        sliding_sql(HOUR, 300, "window_end, event_type AS province, count(*) AS cnt",
+                    "window_end, event_type"), 60,
+    ),
+)
+def win_sliding_by_province_stream(spark, sf_dir):
+    stream = windowed.bounded(
+        events(spark, sf_dir).withColumnRenamed("event_type", "province"), "ts", 60
+    )
+    return drain.drain_append(
+        windowed.window_counts(stream, "ts", HOUR, 300, ["province"]), "province-stream"
+    )
+
+
+@query(
+    "win_recent_by_region_stream",
+    closed_sql(
+        sliding_sql(1200, 600, "window_end, event_type AS region, count(*) AS cnt, "
+                    "CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total",
+                    "window_end, event_type"), 60,
+    ),
+)
+def win_recent_by_region_stream(spark, sf_dir):
+    stream = windowed.bounded(
+        events(spark, sf_dir).withColumnRenamed("event_type", "region"), "ts", 60
+    )
+    aggs = [
+        F.count(F.lit(1)).alias("cnt"),
+        F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("total"),
+    ]
+    return drain.drain_append(
+        windowed.window_counts(stream, "ts", 1200, 600, ["region"], aggs), "region-stream"
+    )
+
+
+def wide_windows(spark, sf_dir, kept, delay, size, slide, keys, label):
+    """Windows of many slides: the stream keeps panes only, windows merge from their table.
+
+    State is one row per key and open pane, not one per window a row falls in.
+    """
+    pane = math.gcd(size, slide)
+    panes = drain.drain_append(
+        windowed.window_counts(windowed.bounded(kept, "ts", delay), "ts", pane, keys=keys), label
+    ).withColumn("_pane", (F.col("window_end") / pane).cast("bigint") - 1)
+    merged = merge_panes(panes.drop("window_end"), size, slide, keys, {"cnt": "count"})
+    seen = table(spark, sf_dir, "events").filter(F.col("event_type") != "error")
+    return closed_windows(merged, seen, "ts", delay)
+
+
+@query(
+    "win_sliding_total_stream",
+    closed_sql(
+        sliding_sql(HOUR, 10, "window_end, count(*) AS cnt", "window_end",
+                    "event_type <> 'error'"), 60, "event_type <> 'error'",
+    ),
+)
+def win_sliding_total_stream(spark, sf_dir):
+    kept = events(spark, sf_dir).filter(F.col("event_type") != "error")
+    return wide_windows(spark, sf_dir, kept, 60, HOUR, 10, [], "total-stream")
+
+
+@query(
+    "win_sliding_by_channel_behavior_stream",
+    closed_sql(
+        sliding_sql(HOUR, 10, "window_end, concat('channel-', item_id % 4) AS channel, "
+                    "event_type AS behavior, count(*) AS cnt",
+                    "window_end, item_id % 4, event_type", "event_type <> 'error'"),
+        60, "event_type <> 'error'",
+    ),
+)
+def win_sliding_by_channel_behavior_stream(spark, sf_dir):
+    kept = with_item(events(spark, sf_dir)).filter(F.col("event_type") != "error").select(
+        "ts", F.concat(F.lit("channel-"), (F.col("item_id") % 4).cast("string")).alias("channel"),
+        F.col("event_type").alias("behavior"),
+    )
+    return wide_windows(
+        spark, sf_dir, kept, 60, HOUR, 10, ["channel", "behavior"], "channel-stream"
+    )
+
+
+@query(
+    "win_sliding_min_stream",
+    closed_sql(
+        sliding_sql(15, 5, "window_end, user_id AS sensor_id, min(value) AS min_value",
+                    "window_end, user_id"), 1,
+    ),
+)
+def win_sliding_min_stream(spark, sf_dir):
+    stream = windowed.bounded(
+        events(spark, sf_dir).withColumnRenamed("user_id", "sensor_id"), "ts", 1
+    )
+    lowest = [F.min("value").alias("min_value")]
+    return drain.drain_append(
+        windowed.window_counts(stream, "ts", 15, 5, ["sensor_id"], lowest), "min-stream"
+    )
+
+
+def ranked(counts, label, key):
+    """Rank each closed window; all its counts arrive in the batch that closes it."""
+    schema = f"{key} {counts.schema[key].dataType.simpleString()}, cnt bigint, " \
+        "window_end bigint, rank_no int"
+    batches = drain.drain_batches(
+        counts, label, "append", schema,
+        lambda batch: top_n_per_window(batch, 20, "cnt", [key]),
+    )
+    return batches.select("window_end", key, "cnt", F.col("rank_no").cast("bigint"))
+
+
+def top_sql(counts, key):
+    return (
+        f"SELECT window_end, {key}, cnt, rank_no FROM (SELECT *, row_number() OVER (PARTITION BY "
+        f"window_end ORDER BY cnt DESC, {key}) AS rank_no FROM ({counts})) WHERE rank_no <= 20"
+    )
+
+
+@query(
+    "topn_items_per_window_stream",
+    closed_sql(
+        top_sql(sliding_sql(HOUR, 300, "window_end, item_id, count(*) AS cnt",
+                            "window_end, item_id", VIEWS), "item_id"), 0, VIEWS,
+    ),
+)
+def topn_items_per_window_stream(spark, sf_dir):
+    stream = windowed.ascending(views(spark, sf_dir), "ts")
+    counts = windowed.window_counts(stream, "ts", HOUR, 300, ["item_id"])
+    return ranked(counts, "top-items", "item_id")
+
+
+@query(
+    "topn_urls_per_window_stream",
+    closed_sql(
+        top_sql(sliding_sql(600, 5, "window_end, event_type AS url, count(*) AS cnt",
+                            "window_end, event_type"), "url"), 70,
+    ),
+)
+def topn_urls_per_window_stream(spark, sf_dir):
+    hits = events(spark, sf_dir).withColumnRenamed("event_type", "url")
+    stream = windowed.bounded(hits, "ts", 10, lateness=60)
+    panes = drain.drain_append(windowed.window_counts(stream, "ts", 5, keys=["url"]), "url-panes")
+    panes = panes.withColumn("_pane", (F.col("window_end") / 5).cast("bigint") - 1)
+    counts = merge_panes(panes.drop("window_end"), 600, 5, ["url"], {"cnt": "count"})
+    counts = closed_windows(counts, table(spark, sf_dir, "events"), "ts", 70)
+    top = top_n_per_window(counts, 20, "cnt", ["url"])
+    return top.select("window_end", "url", "cnt", F.col("rank_no").cast("bigint"))
+
+
+@query(
+    "win_processing_batch_stream",
+    "SELECT event_type, count(*) AS cnt, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS "
+    "total FROM events GROUP BY 1",
+)
+def win_processing_batch_stream(spark, sf_dir):
+    """Per-batch SQL and sink; the per-batch reports add up to the table."""
+
+    def report(batch):
+        return batch.groupBy("event_type").agg(
+            F.count(F.lit(1)).alias("cnt"),
+            F.sum(F.col("value").cast("decimal(18,2)")).alias("total"),
+        )
+
+    batches = drain.drain_batches(
+        events(spark, sf_dir).select("event_type", "value"), "per-batch", "append",
+        "event_type string, cnt bigint, total decimal(28,2)", report,
+    )
+    return batches.groupBy("event_type").agg(
+        F.sum("cnt").alias("cnt"), F.sum("total").cast("double").alias("total")
+    )
+
+
+TOTALS = (
+    "SELECT user_id, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total, count(*) AS cnt "
+    "FROM events GROUP BY 1"
+)
+TOTAL_SCHEMA = "user_id bigint, total double, cnt bigint"
+
+
+@query("state_running_total_changed", TOTALS)
+def state_running_total_changed(spark, sf_dir):
+    totals = windowed.running_totals(events(spark, sf_dir), ["user_id"], "value")
+    batches = drain.drain_batches(totals, "changed-totals", "update", TOTAL_SCHEMA)
+    return drain.final_values(batches, ["user_id"])
+
+
+@query("state_running_total_all", TOTALS)
+def state_running_total_all(spark, sf_dir):
+    totals = windowed.running_totals(events(spark, sf_dir), ["user_id"], "value")
+    batches = drain.drain_batches(totals, "all-totals", "complete", TOTAL_SCHEMA)
+    return drain.last_batch(batches)
+
+
+@query(
+    "state_word_count",
+    "SELECT word, count(*) AS cnt FROM (SELECT unnest(regexp_split_to_array(text, '\\s+')) AS "
+    "word FROM conversations) WHERE trim(word) <> '' GROUP BY word",
+)
+def state_word_count(spark, sf_dir):
+    use_rocksdb_state(spark)
+    counts = windowed.word_counts(table_stream(spark, sf_dir, "conversations"), "text")
+    batches = drain.drain_batches(counts, "words", "update", "word string, cnt bigint")
+    return drain.final_values(batches, ["word"])
+
+
+# -- joins of two streams --------------------------------------------------------------
+
+SIX_HOURS = 6 * HOUR
+
+
+def two_streams(spark, sf_dir, delay=60):
+    pays = events(spark, sf_dir).filter(F.col("event_type") == "signup").select(
+        "user_id", F.col("event_id").alias("pay_id"), F.col("ts").alias("pay_ts")
+    )
+    receipts = events(spark, sf_dir).filter(F.col("event_type") == "purchase").select(
+        "user_id", F.col("event_id").alias("receipt_id"), F.col("ts").alias("receipt_ts")
+    )
+    return (
+        pays.withWatermark("pay_ts", f"{delay} seconds"),
+        receipts.withWatermark("receipt_ts", f"{delay} seconds"),
+    )
+
+
+JOINED = (
+    "(SELECT * FROM events WHERE event_type = 'signup') p {how} JOIN (SELECT * FROM events WHERE "
+    "event_type = 'purchase') r ON p.user_id = r.user_id AND epoch_us(r.ts) - epoch_us(p.ts) "
+    "BETWEEN -21600000000 AND 21600000000"
+)
+
+
+@query(
+    "join_interval_stream",
+    "SELECT p.user_id, p.event_id AS pay_id, r.event_id AS receipt_id FROM " + JOINED.format(how=""),
+)
+def join_interval_stream(spark, sf_dir):
+    pays, receipts = two_streams(spark, sf_dir)
+    pairs = windowed.interval_pairs(
+        pays, receipts, "user_id", "pay_ts", "receipt_ts", -SIX_HOURS, SIX_HOURS
+    )
+    return drain.drain_append(pairs.select("user_id", "pay_id", "receipt_id"), "pairs")
+
+
+MATCHED_UNTIL = (
+    "(SELECT min(m) - 86400000000 FROM (SELECT max(epoch_us(ts)) AS m FROM events WHERE "
+    "event_type IN ('signup', 'purchase') GROUP BY event_type))"
+)
+
+
+@query(
+    "match_two_streams_stream",
+    "SELECT coalesce(p.user_id, r.user_id) AS user_id, coalesce(p.event_id, -1) AS pay_id, "
+    "coalesce(r.event_id, -1) AS receipt_id, CASE WHEN r.event_id IS NULL THEN 'left_only' WHEN "
+    "p.event_id IS NULL THEN 'right_only' ELSE 'matched' END AS status FROM "
+    + JOINED.format(how="FULL") + f" WHERE coalesce(epoch_us(p.ts), epoch_us(r.ts)) <= {MATCHED_UNTIL}",
+)
+def match_two_streams_stream(spark, sf_dir):
+    """Matches and both kinds of unmatched rows that are a day behind the streams' end."""
+    span = (-SIX_HOURS, SIX_HOURS)
+    pays, receipts = two_streams(spark, sf_dir)
+    left = windowed.interval_pairs(
+        pays, receipts, "user_id", "pay_ts", "receipt_ts", *span, "left_outer"
+    )
+    left_rows = drain.drain_append(
+        left.select("user_id", "pay_id", "receipt_id", F.unix_micros("pay_ts").alias("us")),
+        "left-matches",
+    ).withColumn("status", F.when(F.col("receipt_id").isNull(), "left_only").otherwise("matched"))
+    pays, receipts = two_streams(spark, sf_dir)
+    right = windowed.interval_pairs(
+        receipts, pays, "user_id", "receipt_ts", "pay_ts", *span, "left_outer"
+    )
+    right_rows = drain.drain_append(
+        right.select("user_id", "pay_id", "receipt_id", F.unix_micros("receipt_ts").alias("us")),
+        "right-matches",
+    ).filter(F.col("pay_id").isNull()).withColumn("status", F.lit("right_only"))
+    ends = (
+        table(spark, sf_dir, "events").filter(F.col("event_type").isin("signup", "purchase"))
+        .groupBy("event_type").agg(F.max(F.unix_micros("ts")).alias("last"))
+        .agg(F.min("last") - DAY * 1_000_000)
+    )
+    return left_rows.unionByName(right_rows).filter(F.col("us") <= ends.scalar()).select(
+        "user_id",
+        F.coalesce("pay_id", F.lit(-1)).cast("bigint").alias("pay_id"),
+        F.coalesce("receipt_id", F.lit(-1)).cast("bigint").alias("receipt_id"),
+        "status",
+    )
+
+
+# -- keyed state and patterns --------------------------------------------------------
+
+LIMIT_US = "(SELECT max(epoch_us(ts)) - 60000000 FROM events)"
+
+
+def ruled(spark, sf_dir, label, rule, keys=("user_id",), mode="append"):
+    stream = ordered.apply_rule(
+        events(spark, sf_dir), keys, "ts", rule, 60,
+        row_id="event_id", kind="event_type", value="value", mode=mode,
+    )
+    return drain.drain_append(stream, label)
+
+
+@query(
+    "state_change_alert_stream",
+    "SELECT user_id, event_id, prev_value, value FROM (SELECT *, lag(value) OVER "
+    "(PARTITION BY user_id ORDER BY ts, event_id) AS prev_value FROM events) "
+    f"WHERE abs(value - prev_value) > 10.0 AND epoch_us(ts) <= {LIMIT_US}",
+)
+def state_change_alert_stream(spark, sf_dir):
+    return ruled(spark, sf_dir, "changes", ordered.ChangeRule(10.0))
+
+
+@query(
+    "state_rising_alert_stream",
+    "WITH d AS (SELECT *, epoch_us(ts) AS us, CASE WHEN value < lag(value) OVER w THEN 1 ELSE 0 "
+    "END AS dropped FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)), "
+    "r AS (SELECT *, sum(dropped) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS run FROM d), "
+    "f AS (SELECT *, min(us) OVER (PARTITION BY user_id, run) AS first_us FROM r) "
+    "SELECT user_id, first_us, min(us) AS alert_us FROM f WHERE us - first_us >= 86400000000 "
+    f"GROUP BY user_id, run, first_us HAVING min(us) <= {LIMIT_US}",
+)
+def state_rising_alert_stream(spark, sf_dir):
+    return ruled(spark, sf_dir, "rising", ordered.RisingRule(DAY))
+
+
+@query(
+    "state_rate_limit_blacklist_stream",
+    "SELECT event_id, user_id, event_type, nth, CASE WHEN nth <= 2 THEN 'pass' ELSE 'warn' END "
+    "AS outcome FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type, t // 86400 "
+    f"ORDER BY ts, event_id) AS nth FROM {{EV}}) WHERE nth <= 3 AND epoch_us(ts) <= {LIMIT_US}",
+)
+def state_rate_limit_blacklist_stream(spark, sf_dir):
+    return ruled(
+        spark, sf_dir, "limited", ordered.RateLimitRule(2), ("user_id", "event_type")
+    )
+
+
+@query(
+    "pat_strict_next_stream",
+    "SELECT user_id, epoch_us(prev_ts) AS first_us, epoch_us(ts) AS last_us FROM (SELECT *, "
+    "lag(ts) OVER w AS prev_ts, lag(event_type) OVER w AS prev_type FROM events "
+    "WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) WHERE event_type = 'error' "
+    "AND prev_type = 'error' AND epoch_us(ts) - epoch_us(prev_ts) < 86400000000 "
+    f"AND epoch_us(ts) <= {LIMIT_US}",
+)
+def pat_strict_next_stream(spark, sf_dir):
+    return ruled(spark, sf_dir, "strict", ordered.StrictNextRule("error", DAY))
+
+
+@query(
+    "pat_followed_by_stream",
+    "SELECT user_id, event_id, epoch_us(ts) AS create_us, CASE WHEN pay_us - epoch_us(ts) < "
+    "86400000000 THEN pay_us ELSE -1 END AS pay_us, CASE WHEN pay_us - epoch_us(ts) < 86400000000 "
+    "THEN 'paid' ELSE 'timeout' END AS status FROM (SELECT *, min(CASE WHEN event_type = "
+    "'purchase' THEN epoch_us(ts) END) OVER (PARTITION BY user_id ORDER BY ts, event_id "
+    "ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS pay_us FROM events) "
+    f"WHERE event_type = 'signup' AND epoch_us(ts) <= {LIMIT_US} - 86400000000",
+)
+def pat_followed_by_stream(spark, sf_dir):
+    """Creates whose deadline has passed; verdicts that came earlier are left out."""
+    judged = ruled(
+        spark, sf_dir, "followed", ordered.FollowedByRule("signup", "purchase", DAY)
+    )
+    end = table(spark, sf_dir, "events").agg(
+        F.max(F.unix_micros("ts")) - (60 + DAY) * 1_000_000
+    )
+    return judged.filter(F.col("create_us") <= end.scalar())
+
+
+@query("pat_fail_burst_stream")
+def pat_fail_burst_stream(spark, sf_dir):
+    """Compared with the batch form in the tests."""
+    return ruled(
+        spark, sf_dir, "bursts", ordered.FailBurstRule("error", "signup", 2, 2 * DAY)
+    )
+
+
+@query(
+    "pat_order_outcome_stream",
+    "WITH f AS (SELECT user_id, min(CASE WHEN event_type = 'signup' THEN epoch_us(ts) END) AS c, "
+    "min(CASE WHEN event_type = 'purchase' THEN epoch_us(ts) END) AS p FROM events WHERE "
+    f"epoch_us(ts) <= {LIMIT_US} GROUP BY user_id) SELECT user_id, CASE WHEN c IS NULL THEN "
+    "'paid_without_create' WHEN p IS NULL THEN 'timeout' WHEN p - c < 86400000000 THEN 'paid' ELSE "
+    f"'paid_late' END AS outcome FROM f WHERE (c IS NOT NULL AND p IS NOT NULL) OR "
+    f"coalesce(c, p) + 86400000000 <= {LIMIT_US}",
+)
+def pat_order_outcome_stream(spark, sf_dir):
+    stream = ordered.apply_rule(
+        events(spark, sf_dir), ("user_id",), "ts",
+        ordered.OrderOutcomeRule("signup", "purchase", DAY), 60,
+        row_id="event_id", kind="event_type", mode="update",
+    )
+    batches = drain.drain_batches(
+        stream, "outcomes", "update", "user_id bigint, outcome string",
+        # Within a batch the rows keep their order of emission.
+        lambda b: b.groupBy("user_id").agg(F.last("outcome").alias("outcome")),
+    )
+    return drain.final_values(batches, ["user_id"])
+
+
+# -- operation -----------------------------------------------------------------------
+
+
+@query("stream_recovery", TOTALS)
+def stream_recovery(spark, sf_dir):
+    """Stop after half of the files, restart from the checkpoint, end with full totals."""
+    from eventmill.streaming.recovery import run_in_two_halves
+
+    use_rocksdb_state(spark)
+    batches = run_in_two_halves(
+        table(spark, sf_dir, "events").select("user_id", "value"),
+        "user_id bigint, value double", TOTAL_SCHEMA,
+        lambda stream: windowed.running_totals(stream, ["user_id"], "value"),
+    )
+    return drain.final_values(batches, ["user_id"])
+
+
+@query(
+    "stream_rate_cap",
+    "SELECT count(*) AS cnt FROM events",
+)
+def stream_rate_cap(spark, sf_dir):
+    """One file per micro-batch: several capped batches, the same rows in the end."""
+    use_rocksdb_state(spark)
+    path = work_dir(spark, "capped")
+    table(spark, sf_dir, "events").select("event_id", "value").repartition(4).write.parquet(path)
+    stream = stream_source(
+        spark, "parquet", path, "event_id bigint, value double", maxFilesPerTrigger=1
+    )
+    batches = drain.drain_batches(stream, "capped-out", "append", "event_id bigint, value double")
+    return batches.agg(F.count(F.lit(1)).alias("cnt"))
+
+
+@query(
+    "src_kafka_json",
+    "SELECT o_orderkey AS order_id, o_custkey % 34 AS province_id, o_totalprice AS order_price "
+    "FROM orders",
+)
+def src_kafka_json(spark, sf_dir):
+    """Queue messages to typed rows; files stand in for the topic, the columns are its."""
+    path = work_dir(spark, "topic")
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("orderId"), (F.col("o_custkey") % 34).alias("provinceId"),
+        F.col("o_totalprice").alias("orderPrice"),
+    )
+    messages(orders, "orderId").write.parquet(path)
+    topic = stream_source(spark, "parquet", path, "key string, value string")
+    parsed = parse_json_order(
+        message_values(topic), "value", "orderId bigint, provinceId bigint, orderPrice double"
+    )
+    return drain.drain_append(
+        parsed.select(
+            F.col("orderId").alias("order_id"), F.col("provinceId").alias("province_id"),
+            F.col("orderPrice").alias("order_price"),
+        ),
+        "orders-stream",
+    )
