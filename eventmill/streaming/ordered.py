@@ -8,8 +8,10 @@ one row does to the small state of its key and what time alone does to it.
 from __future__ import annotations
 
 import json
+import sys
 from collections.abc import Iterator
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
@@ -187,7 +189,8 @@ class OrderedProcessor(StatefulProcessor):
     """Buffers rows, wakes at the watermark, applies the rule in time order."""
 
     def __init__(self, rule: Rule, keys: tuple[str, ...]):
-        self.rule, self.keys = rule, keys
+        self.rule = rule
+        self.columns = [*keys, *(field.split()[0] for field in rule.output.split(","))]
 
     def init(self, handle) -> None:
         self.handle = handle
@@ -240,7 +243,8 @@ class OrderedProcessor(StatefulProcessor):
         pending = None if timer_ms == fired else timer_ms
         timer_ms = self._wake(min(times) if times else None, pending)
         self.memory.update((json.dumps(state), timer_ms))
-        return iter([Row(*key, *out) for out in found])
+        make = Row(*self.columns)
+        return iter([make(*key, *out) for out in found])
 
     def close(self) -> None:
         pass
@@ -258,6 +262,8 @@ def apply_rule(
     mode: str = "append",
 ) -> DataFrame:
     """Run ``rule`` per key over a stream that is at most ``delay`` s out of order."""
+    # Send the rule with the query, so executors need no copy of this package.
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     empty = F.lit(None)
     rows = stream.select(
         *keys, ts, F.unix_micros(ts).alias("us"),
