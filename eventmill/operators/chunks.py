@@ -3,8 +3,10 @@
 ``lag`` and running flags need the rows of a key in time order, but a window
 partitioned by the key alone would put a hot key on one task. Here every key is
 cut into time chunks. Windows run per (key, chunk); what crosses a chunk border
-is carried over by a small summary with one row per (key, chunk), whose size is
-bounded by the time range and not by the number of events.
+is carried over by a small summary with one row per (key, chunk), whose size per
+key is bounded by the time range and not by the number of events.
+
+Rows without a key or an event time belong to no sequence and are left out.
 """
 
 from __future__ import annotations
@@ -17,7 +19,8 @@ from pyspark.sql import Window as W
 
 from eventmill.operators.windows import epoch, floor_div
 
-CHUNK_SECONDS = 6 * 3600
+# Ten minutes: a key with a third of a month's 100 TB gives chunks of a few GB.
+CHUNK_SECONDS = 600
 
 
 def with_chunk(df: DataFrame, ts: str, seconds: int) -> DataFrame:
@@ -45,10 +48,12 @@ def with_previous(
         "_carry", F.lag("_last").over(W.partitionBy(*keys).orderBy("_chunk"))
     ).select(*keys, "_chunk", "_carry")
     inside = F.lag(payload).over(W.partitionBy(*keys, "_chunk").orderBy(*order))
+    # The window comes first: its partitioning and order then serve the join too.
     return (
-        chunked.join(carried, [*keys, "_chunk"])
-        .withColumn("prev", F.coalesce(inside, F.col("_carry")))
-        .drop("_carry")
+        chunked.withColumn("_inside", inside)
+        .join(carried, [*keys, "_chunk"])
+        .withColumn("prev", F.coalesce("_inside", "_carry"))
+        .drop("_inside", "_carry")
     )
 
 
@@ -72,7 +77,40 @@ def with_run_start(
         W.partitionBy(*keys, "_chunk").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     )
     return (
-        marked.join(carried, [*keys, "_chunk"])
-        .withColumn("run_start", F.coalesce(F.max("_point").over(upto), F.col("_carry")))
-        .drop("_point", "_carry")
+        marked.withColumn("_inside", F.max("_point").over(upto))
+        .join(carried, [*keys, "_chunk"])
+        .withColumn("run_start", F.coalesce("_inside", "_carry"))
+        .drop("_point", "_inside", "_carry")
+    )
+
+
+def with_next(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    wanted: Column,
+    column: str,
+    output: str,
+    chunk_seconds: int = CHUNK_SECONDS,
+) -> DataFrame:
+    """Add ``output``: ``column`` of the next later row of the key that is ``wanted``."""
+    marked = with_chunk(df, order[0], chunk_seconds).withColumn(
+        "_hit", F.when(wanted, F.struct(*order, F.col(column).alias("_value")))
+    )
+    first_hits = marked.groupBy(*keys, "_chunk").agg(F.min("_hit").alias("_first"))
+    # Frames run backwards in time, so that they only ever grow.
+    later = W.partitionBy(*keys).orderBy(F.desc("_chunk")).rowsBetween(W.unboundedPreceding, -1)
+    carried = first_hits.withColumn(
+        "_carry", F.last("_first", ignorenulls=True).over(later)
+    ).select(*keys, "_chunk", "_carry")
+    inside = F.last("_hit", ignorenulls=True).over(
+        W.partitionBy(*keys, "_chunk")
+        .orderBy(*[F.desc(c) for c in order])
+        .rowsBetween(W.unboundedPreceding, -1)
+    )
+    return (
+        marked.withColumn("_inside", inside)
+        .join(carried, [*keys, "_chunk"])
+        .withColumn(output, F.coalesce("_inside", "_carry")["_value"])
+        .drop("_hit", "_inside", "_carry", "_chunk")
     )

@@ -1,8 +1,7 @@
 """Patterns over keyed event sequences, batch forms.
 
 All of them survive a key that holds a large share of the rows: ordered steps
-run per (key, time chunk), see :mod:`eventmill.operators.chunks`, and bounded
-look-ahead uses time buckets instead of whole-key windows.
+run per (key, time chunk), see :mod:`eventmill.operators.chunks`.
 """
 
 from __future__ import annotations
@@ -14,7 +13,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from eventmill.operators.chunks import CHUNK_SECONDS, with_previous, with_run_start
+from eventmill.operators.chunks import (
+    CHUNK_SECONDS,
+    with_next,
+    with_previous,
+    with_run_start,
+)
 from eventmill.operators.windows import epoch, floor_div
 
 DAY = 86400
@@ -223,37 +227,23 @@ def followed_by(
     first: str,
     then: str,
     within: int,
+    chunk_seconds: int = CHUNK_SECONDS,
 ) -> DataFrame:
     """For every ``first`` row: was it followed by a ``then`` row within the time?
 
-    Rows between them are allowed. Buckets as wide as ``within`` hold every
-    possible follower once ``then`` rows are also placed in the bucket before
-    their own, so one pass per (key, bucket) finds the nearest follower without
-    forming pairs.
+    Rows between them are allowed. The nearest follower is found per (key, chunk)
+    and carried over chunk borders; no pairs are formed.
     """
     ts = order[0]
-    own = floor_div(epoch(ts), within)
     relevant = df.filter(F.col(kind).isin(first, then))
-    placed = relevant.withColumn(
-        "_bucket",
-        F.explode(F.when(F.col(kind) == then, F.array(own, own - 1)).otherwise(F.array(own))),
-    )
-    # Reading the bucket backwards keeps this an incremental running frame.
-    backwards = (
-        W.partitionBy(key, "_bucket")
-        .orderBy(*[F.desc(c) for c in order])
-        .rowsBetween(W.unboundedPreceding, -1)
-    )
-    nearest = F.last(F.when(F.col(kind) == then, F.col(ts)), ignorenulls=True).over(backwards)
+    linked = with_next(
+        relevant, [key], order, F.col(kind) == then, ts, "_next", chunk_seconds
+    ).filter(F.col(kind) == first)
+    in_time = micros_between(F.col("_next"), F.col(ts)) < within * MICROS
     return (
-        placed.withColumn("_next", nearest)
-        .filter(F.col(kind) == first)
-        .withColumn(
-            "then_ts",
-            F.when(micros_between(F.col("_next"), F.col(ts)) < within * MICROS, F.col("_next")),
-        )
+        linked.withColumn("then_ts", F.when(in_time, F.col("_next")))
         .withColumn("status", F.when(F.col("then_ts").isNotNull(), "paid").otherwise("timeout"))
-        .drop("_next", "_bucket")
+        .drop("_next")
     )
 
 

@@ -53,16 +53,20 @@ def upsert_to_version(
 
 
 def save_by_day(df: DataFrame, day: str, path: str) -> None:
-    """Load day partitions; a second run of a day replaces that day only."""
+    """Load day partitions; a second run of a day replaces that day only.
+
+    Rebalancing gathers the rows of a day into few files, while AQE splits a day
+    that is too big for one task.
+    """
     (
-        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(day).parquet(path)
+        df.hint("rebalance", F.col(day)).write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)
     )
 
 
 def save_by_route(df: DataFrame, route: str, path: str) -> None:
-    """One folder per route, written by every task without a shuffle."""
-    df.write.mode("overwrite").partitionBy(route).parquet(path)
+    """One folder per route; AQE splits big routes over several files."""
+    df.hint("rebalance", F.col(route)).write.mode("overwrite").partitionBy(route).parquet(path)
 
 
 def cells(

@@ -237,7 +237,8 @@ class OrderedProcessor(StatefulProcessor):
         found += out
         if due:
             self.buffer.put(later) if later else self.buffer.clear()
-        times = [t for t in (later[0][0] if later else None, self.rule.deadline(state)) if t]
+        wishes = (later[0][0] if later else None, self.rule.deadline(state))
+        times = [t for t in wishes if t is not None]
         # The timer that has just fired is gone already.
         fired = expiredTimerInfo.getExpiryTimeInMs()
         pending = None if timer_ms == fired else timer_ms
