@@ -8,55 +8,72 @@ from pyspark.sql import functions as F
 from eventmill.functions.scalar import blank
 from eventmill.operators.joins import range_lookup
 
-# Browser rules in order of precedence: name and the text that precedes its version.
+# Browser rules in order of precedence: name, texts that give it away, and the
+# pattern in front of its version.
 BROWSERS = (
-    ("Edge", r"Edg(?:e|A|iOS)?/"),
-    ("Opera", r"(?:OPR|Opera)[/ ]"),
-    ("Firefox", r"Firefox/"),
-    ("Chrome", r"Chrome/"),
-    ("IE", r"MSIE "),
-    ("IE", r"Trident/.*rv:"),
-    ("Safari", r"Version/"),
+    ("Edge", ("Edge/", "Edg/", "EdgA/", "EdgiOS/"), r"Edg(?:e|A|iOS)?/"),
+    ("Opera", ("OPR/", "Opera/", "Opera "), r"(?:OPR|Opera)[/ ]"),
+    ("Firefox", ("Firefox/",), r"Firefox/"),
+    ("Chrome", ("Chrome/",), r"Chrome/"),
+    ("IE", ("MSIE ",), r"MSIE "),
+    ("IE", ("Trident/",), r"Trident/.*rv:"),
+    ("Safari", ("Version/",), r"Version/"),
 )
-# Operating systems: family, version name (None: taken from the pattern), pattern.
+# Operating systems: family, texts that give it away, version name or its pattern.
 SYSTEMS = (
-    ("Windows", "Windows 10", r"Windows NT 10\.0()"),
-    ("Windows", "Windows 8.1", r"Windows NT 6\.3()"),
-    ("Windows", "Windows 8", r"Windows NT 6\.2()"),
-    ("Windows", "Windows 7", r"Windows NT 6\.1()"),
-    ("Windows", "Windows Vista", r"Windows NT 6\.0()"),
-    ("Windows", "Windows XP", r"Windows NT 5\.[12]()"),
-    ("iOS", None, r"(?:iPhone|iPad).* OS ([0-9_]+)"),
-    ("OS X", None, r"Mac OS X ([0-9_.]+)"),
-    ("Android", None, r"Android ([0-9.]+)"),
-    ("Linux", "Linux", r"Linux()"),
+    ("Windows", ("Windows NT 10.0",), "Windows 10", None),
+    ("Windows", ("Windows NT 6.3",), "Windows 8.1", None),
+    ("Windows", ("Windows NT 6.2",), "Windows 8", None),
+    ("Windows", ("Windows NT 6.1",), "Windows 7", None),
+    ("Windows", ("Windows NT 6.0",), "Windows Vista", None),
+    ("Windows", ("Windows NT 5.1", "Windows NT 5.2"), "Windows XP", None),
+    ("iOS", ("iPhone", "iPad"), None, r" OS ([0-9_]+)"),
+    ("OS X", ("Mac OS X",), None, r"Mac OS X ([0-9_.]+)"),
+    ("Android", ("Android",), None, r"Android ([0-9.]+)"),
+    ("Linux", ("Linux",), "Linux", None),
 )
 
 
-def user_agent(agent: str | Column) -> dict[str, Column]:
-    """Browser name and version, OS family and version; null for a blank agent."""
-    agent = F.col(agent) if isinstance(agent, str) else agent
-    empty = F.lit(None).cast("string")
-    name, version = F.when(blank(agent), empty), F.when(blank(agent), empty)
-    for browser, prefix in BROWSERS:
-        hit = agent.rlike(prefix)
+def _first_rule(agent: Column, hints) -> Column:
+    """Number of the first rule one of whose texts occurs, null if none does."""
+    found = F.when(agent.isNull(), None)
+    for number, texts in enumerate(hints):
+        hit = agent.contains(texts[0])
+        for text in texts[1:]:
+            hit = hit | agent.contains(text)
+        found = found.when(hit, number)
+    return found
+
+
+def with_user_agent(df: DataFrame, agent: str) -> DataFrame:
+    """Add browser, browser_v, os, os_v; null for a blank agent.
+
+    The rules are searched once per row, as plain substrings; only the version
+    of the browser found is taken by pattern.
+    """
+    ua = F.col(agent)
+    ruled = df.withColumn("_browser", _first_rule(ua, [r[1] for r in BROWSERS])).withColumn(
+        "_system", _first_rule(ua, [r[1] for r in SYSTEMS])
+    )
+    name, version, system, release = (F.when(blank(agent), None) for _ in range(4))
+    for number, (browser, _, prefix) in enumerate(BROWSERS):
+        hit = F.col("_browser") == number
         name = name.when(hit, browser)
-        version = version.when(hit, F.regexp_extract(agent, prefix + r"([0-9.]+)", 1))
-    system, release = F.when(blank(agent), empty), F.when(blank(agent), empty)
-    for family, fixed, pattern in SYSTEMS:
-        hit = agent.rlike(pattern)
-        found = F.concat_ws(
-            " ", F.lit(family), F.translate(F.regexp_extract(agent, pattern, 1), "_", ".")
-        )
+        version = version.when(hit, F.regexp_extract(ua, prefix + r"([0-9.]+)", 1))
+    for number, (family, _, fixed, pattern) in enumerate(SYSTEMS):
+        hit = F.col("_system") == number
         system = system.when(hit, family)
-        release = release.when(hit, F.lit(fixed) if fixed else found)
-    unknown = F.lit("unknown")
-    return {
-        "browser": name.otherwise(unknown),
-        "browser_v": version.otherwise(unknown),
-        "os": system.otherwise(unknown),
-        "os_v": release.otherwise(unknown),
-    }
+        if fixed is None:
+            digits = F.translate(F.regexp_extract(ua, pattern, 1), "_", ".")
+            release = release.when(hit, F.concat_ws(" ", F.lit(family), digits))
+        else:
+            release = release.when(hit, fixed)
+    return ruled.withColumns({
+        "browser": name.otherwise("unknown"),
+        "browser_v": version.otherwise("unknown"),
+        "os": system.otherwise("unknown"),
+        "os_v": release.otherwise("unknown"),
+    }).drop("_browser", "_system")
 
 
 def ipv4_to_long(ip: str | Column) -> Column:

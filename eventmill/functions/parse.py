@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventmill.functions.scalar import blank, epoch_millis, row_key
+from eventmill.session import prepare
 
 # The access-log line format and the tracking-log separators.
 ACCESS_LINE = (
@@ -64,52 +65,46 @@ def parse_space_log(lines: DataFrame, value: str) -> DataFrame:
     )
 
 
-def query_params(uri: Column) -> Column:
-    """URL-decoded parameters of a URI as a map; the last of equal names wins.
+def query_text(uri: Column) -> Column:
+    """The part after the ``?`` of a URI with exactly one; a trailing ``?`` does not count."""
+    bare = F.rtrim(uri, F.lit("?"))
+    marks = F.length(bare) - F.length(F.replace(bare, F.lit("?")))
+    return F.when(marks == 1, F.trim(F.split_part(bare, F.lit("?"), F.lit(2)), F.lit("&")))
 
-    A name without a value maps to null. URIs without exactly one ``?`` give an
-    empty map.
-    """
-    halves = F.split(uri, r"\?")
-    pairs = F.when(F.size(halves) == 2, F.split(F.get(halves, F.lit(1)), "&")).otherwise(
-        F.array().cast("array<string>")
-    )
-    entries = F.transform(
-        F.filter(pairs, lambda p: p != ""),
-        lambda p: F.struct(
-            F.split_part(p, F.lit("="), F.lit(1)).alias("key"),
-            F.try_url_decode(F.nullif(F.split_part(p, F.lit("="), F.lit(2)), F.lit(""))).alias(
-                "value"
-            ),
-        ),
-    )
-    # Each _let evaluates its array once per line; lambdas would repeat it per entry.
-    return _let(
-        entries,
-        lambda all_entries: _let(
-            F.reverse(F.transform(all_entries, lambda e: e["key"])),
-            lambda names: F.map_from_entries(
-                F.filter(
-                    all_entries,
-                    lambda e, i: i == F.size(names) - F.array_position(names, e["key"]),
-                )
-            ),
-        ),
-    )
 
+def query_params(text: Column) -> Column:
+    """URL-decoded parameters of a query text as a map; the last of equal names wins.
 
-def _let(value: Column, body) -> Column:
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    A name without a value maps to null, no text to an empty map. Repeated names
+    need the session setting made by :func:`eventmill.session.prepare`; without
+    it they raise an error.
+    """
+    decoded = F.transform_values(
+        F.str_to_map(text, F.lit("&+"), F.lit("=")),
+        lambda _, v: F.try_url_decode(F.nullif(F.split_part(v, F.lit("="), F.lit(1)), F.lit(""))),
+    )
+    return F.when(text != "", decoded).otherwise(F.create_map().cast("map<string, string>"))
 
 
 def parse_tracking_log(lines: DataFrame, value: str) -> DataFrame:
-    """ip, server time, host and parameter map of every four-part line."""
-    part = F.split(value, TRACKING_SEPARATOR)
-    return lines.filter(~blank(value) & (F.size(part) == 4)).select(
-        F.get(part, F.lit(0)).alias("ip"),
-        F.get(part, F.lit(1)).alias("s_time"),
-        F.get(part, F.lit(2)).alias("http_host"),
-        query_params(F.get(part, F.lit(3))).alias("params"),
+    """ip, server time, host and parameter map of every four-part line.
+
+    Empty parts at the end of a line do not count as parts.
+    """
+    prepare(lines.sparkSession)
+    # Step by step, so that no split is repeated for the columns that use it.
+    split = lines.select(F.split(value, TRACKING_SEPARATOR).alias("_part"))
+    part = F.col("_part")
+    after = F.array_join(F.slice(part, F.lit(5), F.size(part)), "")
+    return (
+        split.filter((F.get(part, F.lit(3)) != "") & (after == ""))
+        .withColumn("_query", query_text(F.get(part, F.lit(3))))
+        .select(
+            F.get(part, F.lit(0)).alias("ip"),
+            F.get(part, F.lit(1)).alias("s_time"),
+            F.get(part, F.lit(2)).alias("http_host"),
+            query_params(F.col("_query")).alias("params"),
+        )
     )
 
 

@@ -49,9 +49,7 @@ def lower_null_safe(column: str | Column) -> Column:
 
 def normalize_tokens(text: str | Column) -> Column:
     """Lower-case words without commas and full stops."""
-    return F.filter(
-        F.split(F.translate(F.lower(text), ",.", ""), r"\s+"), lambda w: w != ""
-    )
+    return F.array_remove(F.split(F.translate(F.lower(text), ",.", ""), r"\s+"), "")
 
 
 def url_decode(column: str | Column) -> Column:

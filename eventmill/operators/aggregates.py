@@ -17,8 +17,8 @@ def exact_sum(column: str | Column) -> Column:
 
 
 def words(text: str | Column, separator: str = r"\s+") -> Column:
-    """Non-blank tokens of a text."""
-    return F.filter(F.split(text, separator), lambda w: F.trim(w) != "")
+    """Non-blank tokens of a text; a separator pattern should take in blanks around it."""
+    return F.array_remove(F.split(text, separator), "")
 
 
 def word_counts(df: DataFrame, text: str, separator: str = r"\s+") -> DataFrame:

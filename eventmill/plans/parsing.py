@@ -151,9 +151,7 @@ def enrich_user_agent(spark, sf_dir):
             F.lit("Mozilla/4.0 (compatible; MSIE "), version, F.lit("; Windows NT 6.1)")))
     )
     agents = behaviour(spark, sf_dir).select("event_id", agent.alias("b_iev"))
-    return agents.select(
-        "event_id", *[c.alias(n) for n, c in enrich.user_agent("b_iev").items()]
-    )
+    return enrich.with_user_agent(agents, "b_iev").drop("b_iev")
 
 
 # Location text per nation number (modulo ten) with the region it must resolve to.

@@ -12,6 +12,11 @@ from pyspark.sql import functions as F
 ROCKSDB_PROVIDER = (
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 )
+RESULT_SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    # Of equally named URL parameters the last one counts.
+    "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
+}
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
 
@@ -34,8 +39,9 @@ def build_session(app: str = "eventmill", master: str | None = None, **conf) ->
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Pin the settings that change results, on a session made elsewhere."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    for key, value in RESULT_SETTINGS.items():
+        if spark.conf.get(key) != value:
+            spark.conf.set(key, value)
     return spark
 
 

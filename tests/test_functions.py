@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from eventmill.functions import enrich, parse, scalar
 from eventmill.operators import joins
-from eventmill.session import broadcast_if_small, checkpointed
+from eventmill.session import broadcast_if_small, checkpointed, prepare
 from eventmill.sinks import tables as sink
 
 
@@ -63,12 +63,14 @@ def test_epoch_and_dates(spark):
 
 
 def test_query_params(spark):
-    get = lambda text: one(spark, text, lambda v: parse.query_params(F.col(v)))
+    prepare(spark)
+    get = lambda text: one(spark, text, lambda v: parse.query_params(parse.query_text(F.col(v))))
     assert get("/a?k=1&k=2&e=&flag&t=x%20y&bad=%zz") == {
         "k": "2", "e": None, "flag": None, "t": "x y", "bad": None
     }
     assert get("/a") == {}
-    assert get("/a?b=1?c=2") == {}
+    assert get("/a?b=1?c=2") == {} == get("/a?")
+    assert get("/a?b=1&&c=2&?") == {"b": "1", "c": "2"}
 
 
 def test_access_log_rejects_bad_lines(spark):
@@ -81,7 +83,7 @@ def test_access_log_rejects_bad_lines(spark):
 
 
 def test_tracking_log_needs_four_parts(spark):
-    lines = [("1.2.3.4^A1449410796.976^Ahost^A/l.gif?en=e_pv&u_ud=u",), ("a^Ab",), (" ",)]
+    lines = [("1.2.3.4^A1449410796.976^Ahost^A/l.gif?en=e_pv&u_ud=u",), ("a^Ab",), (" ",), ("a^Ab^Ac^A",), (None,)]
     parsed = parse.parse_tracking_log(spark.createDataFrame(lines, "value string"), "value")
     assert parsed.count() == 1
     keyed = parse.tracking_row_keys(parsed).first()
@@ -124,7 +126,7 @@ def test_user_agents(spark):
         " ": (None, None, None, None),
     }
     df = spark.createDataFrame([(k,) for k in cases], "ua string")
-    got = df.withColumns(enrich.user_agent("ua")).collect()
+    got = enrich.with_user_agent(df, "ua").collect()
     fields = ("browser", "browser_v", "os", "os_v")
     assert {r["ua"]: tuple(r[f] for f in fields) for r in got} == cases
 
