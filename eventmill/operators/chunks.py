@@ -1,10 +1,11 @@
 """Ordered computations over keys that may be far too big for one task.
 
 ``lag`` and running flags need the rows of a key in time order, but a window
-partitioned by the key alone would put a hot key on one task. Here every key is
-cut into time chunks. Windows run per (key, chunk); what crosses a chunk border
-is carried over by a small summary with one row per (key, chunk), whose size per
-key is bounded by the time range and not by the number of events.
+partitioned by the key alone would put a hot key on one task. Keys with many
+rows are therefore cut into time chunks; all others stay whole. Windows run per
+(key, chunk); what crosses the chunk borders of a hot key is carried over by a
+summary with one row per (hot key, chunk), whose size is bounded by the time
+range and not by the number of events.
 
 Rows without a key or an event time belong to no sequence and are left out.
 """
@@ -21,10 +22,32 @@ from eventmill.operators.windows import epoch, floor_div
 
 # Ten minutes: a key with a third of a month's 100 TB gives chunks of a few GB.
 CHUNK_SECONDS = 600
+# From this many rows on a key is hot. There can be at most (all rows / HOT_ROWS)
+# hot keys, which bounds their broadcast: one million keys per 10^12 rows.
+HOT_ROWS = 1_000_000
 
 
-def with_chunk(df: DataFrame, ts: str, seconds: int) -> DataFrame:
-    return df.withColumn("_chunk", floor_div(epoch(ts), seconds))
+def with_chunk(
+    df: DataFrame, keys: Sequence[str], ts: str, seconds: int, hot_rows: int
+) -> DataFrame:
+    """Add ``_chunk`` (0 for the only chunk of a key that is not hot) and ``_hot``."""
+    complete = df.dropna(subset=[*keys, ts])
+    hot = (
+        complete.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+        .filter(F.col("_rows") >= hot_rows).select(*keys, F.lit(True).alias("_hot"))
+    )
+    flagged = complete.join(F.broadcast(hot), list(keys), "left")
+    chunk = F.when(F.col("_hot"), floor_div(epoch(ts), seconds)).otherwise(F.lit(0))
+    return flagged.withColumn("_chunk", chunk)
+
+
+def _attach(rows: DataFrame, carried: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Bring the carry of each hot chunk to its rows.
+
+    ``rows`` comes from a window over (keys, chunk), whose partitioning and order
+    serve this join too.
+    """
+    return rows.join(carried.filter("_carry IS NOT NULL"), [*keys, "_chunk"], "left")
 
 
 def with_previous(
@@ -33,25 +56,24 @@ def with_previous(
     order: Sequence[str],
     columns: Sequence[str],
     chunk_seconds: int = CHUNK_SECONDS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add struct ``prev`` holding ``columns`` of the preceding row of the key.
 
     ``order[0]`` is the event time; further columns break ties. ``prev`` is null
-    on the first row of a key. The chunk number stays in ``_chunk``.
+    on the first row of a key. ``_chunk`` and ``_hot`` stay for further steps.
     """
-    chunked = with_chunk(df, order[0], chunk_seconds)
+    chunked = with_chunk(df, keys, order[0], chunk_seconds, hot_rows)
     payload = F.struct(*columns)
-    last_rows = chunked.groupBy(*keys, "_chunk").agg(
+    last_rows = chunked.filter("_hot").groupBy(*keys, "_chunk").agg(
         F.max_by(payload, F.struct(*order)).alias("_last")
     )
     carried = last_rows.withColumn(
         "_carry", F.lag("_last").over(W.partitionBy(*keys).orderBy("_chunk"))
     ).select(*keys, "_chunk", "_carry")
     inside = F.lag(payload).over(W.partitionBy(*keys, "_chunk").orderBy(*order))
-    # The window comes first: its partitioning and order then serve the join too.
     return (
-        chunked.withColumn("_inside", inside)
-        .join(carried, [*keys, "_chunk"])
+        _attach(chunked.withColumn("_inside", inside), carried, keys)
         .withColumn("prev", F.coalesce("_inside", "_carry"))
         .drop("_inside", "_carry")
     )
@@ -65,10 +87,11 @@ def with_run_start(
     ``starts`` marks rows that open a run; ``df`` must come from
     :func:`with_previous`. Runs may span any number of chunks.
     """
-    point = F.when(starts, F.struct(*order))
-    marked = df.withColumn("_point", point)
+    marked = df.withColumn("_point", F.when(starts, F.struct(*order)))
     # Order structs grow along the key, so the latest start is the maximum.
-    latest = marked.groupBy(*keys, "_chunk").agg(F.max("_point").alias("_latest"))
+    latest = marked.filter("_hot").groupBy(*keys, "_chunk").agg(
+        F.max("_point").alias("_latest")
+    )
     before = W.partitionBy(*keys).orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
     carried = latest.withColumn("_carry", F.max("_latest").over(before)).select(
         *keys, "_chunk", "_carry"
@@ -77,8 +100,7 @@ def with_run_start(
         W.partitionBy(*keys, "_chunk").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     )
     return (
-        marked.withColumn("_inside", F.max("_point").over(upto))
-        .join(carried, [*keys, "_chunk"])
+        _attach(marked.withColumn("_inside", F.max("_point").over(upto)), carried, keys)
         .withColumn("run_start", F.coalesce("_inside", "_carry"))
         .drop("_point", "_inside", "_carry")
     )
@@ -92,12 +114,14 @@ def with_next(
     column: str,
     output: str,
     chunk_seconds: int = CHUNK_SECONDS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add ``output``: ``column`` of the next later row of the key that is ``wanted``."""
-    marked = with_chunk(df, order[0], chunk_seconds).withColumn(
-        "_hit", F.when(wanted, F.struct(*order, F.col(column).alias("_value")))
+    hit = F.when(wanted, F.struct(*order, F.col(column).alias("_value")))
+    marked = with_chunk(df, keys, order[0], chunk_seconds, hot_rows).withColumn("_hit", hit)
+    first_hits = marked.filter("_hot").groupBy(*keys, "_chunk").agg(
+        F.min("_hit").alias("_first")
     )
-    first_hits = marked.groupBy(*keys, "_chunk").agg(F.min("_hit").alias("_first"))
     # Frames run backwards in time, so that they only ever grow.
     later = W.partitionBy(*keys).orderBy(F.desc("_chunk")).rowsBetween(W.unboundedPreceding, -1)
     carried = first_hits.withColumn(
@@ -109,8 +133,7 @@ def with_next(
         .rowsBetween(W.unboundedPreceding, -1)
     )
     return (
-        marked.withColumn("_inside", inside)
-        .join(carried, [*keys, "_chunk"])
+        _attach(marked.withColumn("_inside", inside), carried, keys)
         .withColumn(output, F.coalesce("_inside", "_carry")["_value"])
-        .drop("_hit", "_inside", "_carry", "_chunk")
+        .drop("_hit", "_inside", "_carry", "_chunk", "_hot")
     )

@@ -9,6 +9,8 @@ from eventmill.operators.windows import epoch, floor_div
 from eventmill.session import broadcast_if_small
 
 MICROS = 1_000_000
+# Pieces of intervals that may be broadcast; at some 100 bytes each about 50 MB.
+BROADCAST_PIECES = 500_000
 
 
 def lookup_with_default(
@@ -48,15 +50,17 @@ def interval_join(
     lower: int,
     upper: int,
     how: str = "inner",
+    width: int | None = None,
 ) -> DataFrame:
     """Right rows with equal key and time in [left + lower, left + upper] seconds.
 
     Both sides are keyed by (key, time bucket): a left row has one bucket, right
-    rows are copied to the two or three they can match, so each pair is found
-    once and a hot key spreads over its buckets. ``how``: inner, left, left_anti
-    or left_semi.
+    rows are copied to those they can match (two or three at the default width,
+    the span of the interval), so each pair is found once and a hot key spreads
+    over its buckets; narrower buckets spread it further for more copies.
+    ``how``: inner, left, left_anti or left_semi.
     """
-    width = max(upper - lower, 1)
+    width = width or max(upper - lower, 1)
     bucketed = left.withColumn("_bucket", floor_div(epoch(left_ts), width))
     spread = _spread(right, right_ts, lower, upper, width).withColumnRenamed(key, "_key")
     condition = (
@@ -102,14 +106,16 @@ def range_lookup(
     """Left-join each point with the interval [lo, hi] it lies in.
 
     Intervals are split at multiples of ``width`` so that the join has an equi
-    key; a small interval table is broadcast, a large one is shuffled by bucket.
+    key. The number of pieces is counted first (a job over the interval table
+    alone): few enough are broadcast, otherwise the join shuffles by bucket and
+    AQE splits skewed buckets.
     """
     bucketed = points.withColumn("_bucket", floor_div(F.col(point), width))
-    pieces = ranges.withColumn(
-        "_bucket",
-        F.explode(F.sequence(floor_div(F.col(lo), width), floor_div(F.col(hi), width))),
-    )
-    pieces = broadcast_if_small(pieces)
+    first, last = floor_div(F.col(lo), width), floor_div(F.col(hi), width)
+    pieces = ranges.withColumn("_bucket", F.explode(F.sequence(first, last)))
+    count = ranges.agg(F.sum(last - first + 1)).first()[0] or 0
+    if count <= BROADCAST_PIECES:
+        pieces = F.broadcast(pieces)
     condition = (bucketed["_bucket"] == pieces["_bucket"]) & F.col(point).between(
         F.col(lo), F.col(hi)
     )

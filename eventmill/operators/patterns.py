@@ -15,6 +15,7 @@ from pyspark.sql import Window as W
 
 from eventmill.operators.chunks import (
     CHUNK_SECONDS,
+    HOT_ROWS,
     with_next,
     with_previous,
     with_run_start,
@@ -63,13 +64,14 @@ def change_alerts(
     value: str,
     threshold: float,
     chunk_seconds: int = CHUNK_SECONDS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Rows whose value moved more than ``threshold`` since the key's last row."""
-    compared = with_previous(df, [key], order, [value], chunk_seconds)
+    compared = with_previous(df, [key], order, [value], chunk_seconds, hot_rows)
     return (
         compared.filter(F.abs(F.col(value) - F.col(f"prev.{value}")) > threshold)
         .withColumn("prev_value", F.col(f"prev.{value}"))
-        .drop("prev", "_chunk")
+        .drop("prev", "_chunk", "_hot")
     )
 
 
@@ -80,9 +82,10 @@ def rising_runs(
     value: str,
     min_seconds: int,
     chunk_seconds: int = CHUNK_SECONDS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Maximal runs without a drop in value that last at least ``min_seconds``."""
-    compared = with_previous(df, [key], order, [value], chunk_seconds)
+    compared = with_previous(df, [key], order, [value], chunk_seconds, hot_rows)
     breaks = F.col("prev").isNull() | (F.col(value) < F.col(f"prev.{value}"))
     runs = with_run_start(compared, [key], order, breaks)
     ts = order[0]
@@ -106,10 +109,11 @@ def strict_next(
     wanted: str,
     within: int,
     chunk_seconds: int = CHUNK_SECONDS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Two directly adjacent rows of kind ``wanted`` less than ``within`` s apart."""
     ts = order[0]
-    linked = with_previous(df, [key], order, [kind, ts], chunk_seconds)
+    linked = with_previous(df, [key], order, [kind, ts], chunk_seconds, hot_rows)
     return linked.filter(
         (F.col(kind) == wanted)
         & (F.col(f"prev.{kind}") == wanted)
@@ -126,10 +130,11 @@ def fail_pairs(
     success: str,
     within: int,
     chunk_seconds: int = CHUNK_SECONDS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """A fail soon after the last fail, with no success between them."""
     logins = df.filter(F.col(kind).isin(fail, success))
-    return strict_next(logins, key, order, kind, fail, within, chunk_seconds)
+    return strict_next(logins, key, order, kind, fail, within, chunk_seconds, hot_rows)
 
 
 def fail_bursts(
@@ -142,6 +147,7 @@ def fail_bursts(
     times: int,
     within: int,
     chunk_seconds: int = CHUNK_SECONDS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """At least ``times`` fails in the ``within`` seconds from a first fail.
 
@@ -153,7 +159,7 @@ def fail_bursts(
     """
     ts = order[0]
     logins = df.filter(F.col(kind).isin(fail, success))
-    linked = with_previous(logins, [key], order, [kind, ts], chunk_seconds)
+    linked = with_previous(logins, [key], order, [kind, ts], chunk_seconds, hot_rows)
     fails = linked.filter(F.col(kind) == fail)
     opens = (
         F.col("prev").isNull()
@@ -228,6 +234,7 @@ def followed_by(
     then: str,
     within: int,
     chunk_seconds: int = CHUNK_SECONDS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """For every ``first`` row: was it followed by a ``then`` row within the time?
 
@@ -237,7 +244,7 @@ def followed_by(
     ts = order[0]
     relevant = df.filter(F.col(kind).isin(first, then))
     linked = with_next(
-        relevant, [key], order, F.col(kind) == then, ts, "_next", chunk_seconds
+        relevant, [key], order, F.col(kind) == then, ts, "_next", chunk_seconds, hot_rows
     ).filter(F.col(kind) == first)
     in_time = micros_between(F.col("_next"), F.col(ts)) < within * MICROS
     return (

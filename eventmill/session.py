@@ -17,7 +17,8 @@ RESULT_SETTINGS = {
     # Of equally named URL parameters the last one counts.
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
 }
-BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
+# Estimates count compressed files; in memory a table may take several times more.
+BROADCAST_LIMIT_BYTES = 16 * 1024 * 1024
 
 
 def build_session(app: str = "eventmill", master: str | None = None, **conf) -> SparkSession:

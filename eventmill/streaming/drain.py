@@ -8,6 +8,7 @@ per micro-batch, so that a batch repeated after a failure replaces itself.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,14 +16,32 @@ from pyspark.sql import functions as F
 from eventmill.session import use_rocksdb_state, work_dir
 
 
+@contextmanager
+def state_partitions(spark):
+    """Number of state partitions, which a query keeps for its whole life.
+
+    On a cluster it is the session's shuffle partition number. With a local
+    master more partitions than cores only add state stores, so it is capped.
+    """
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    context = spark.sparkContext
+    if context.master.startswith("local"):
+        spark.conf.set(key, min(int(before), context.defaultParallelism))
+    try:
+        yield use_rocksdb_state(spark)
+    finally:
+        spark.conf.set(key, before)
+
+
 def start_append(stream: DataFrame, path: str, checkpoint: str):
     """Append finished rows to ``path``, starting or resuming at ``checkpoint``."""
-    use_rocksdb_state(stream.sparkSession)
-    return (
-        stream.writeStream.format("parquet").outputMode("append")
-        .option("path", path).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
-    )
+    with state_partitions(stream.sparkSession):
+        return (
+            stream.writeStream.format("parquet").outputMode("append")
+            .option("path", path).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start()
+        )
 
 
 def start_batches(
@@ -33,15 +52,14 @@ def start_batches(
     per_batch: Callable[[DataFrame], DataFrame] = lambda batch: batch,
 ):
     """Write each micro-batch's rows to its own folder below ``path``."""
-    use_rocksdb_state(stream.sparkSession)
-
     def save(batch: DataFrame, batch_id: int) -> None:
         per_batch(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-    return (
-        stream.writeStream.outputMode(mode).foreachBatch(save)
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    )
+    with state_partitions(stream.sparkSession):
+        return (
+            stream.writeStream.outputMode(mode).foreachBatch(save)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        )
 
 
 def read_batches(stream_schema: str, spark, path: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Pattern operators against plain loops on random, skewed event logs.
 
-Tiny chunks force most links over chunk borders; user 0 holds a third of the rows.
+User 0 holds a third of the rows. Tiny chunks force most links over chunk
+borders, for all users (from 0 rows on), for the hot user only (60), or for none.
 """
 
 import random
@@ -56,29 +57,29 @@ def play(rule, log, until):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-@pytest.mark.parametrize("chunk", [7, 1000])
-def test_ordered_patterns_equal_loops(spark, seed, chunk):
+@pytest.mark.parametrize("chunk, hot", [(7, 0), (7, 60), (1000, 10_000)])
+def test_ordered_patterns_equal_loops(spark, seed, chunk, hot):
     log = make_log(seed)
     df = frame(spark, log).cache()
     order = ["ts", "id"]
     us = F.unix_micros
 
-    changes = pat.change_alerts(df, "user", order, "value", 10.0, chunk)
+    changes = pat.change_alerts(df, "user", order, "value", 10.0, chunk, hot)
     assert rows(changes.select("user", "id", "prev_value", "value")) == play(
         ordered.ChangeRule(10.0), log, 10_000
     )
-    pairs = pat.strict_next(df, "user", order, "kind", "fail", 5, chunk)
+    pairs = pat.strict_next(df, "user", order, "kind", "fail", 5, chunk, hot)
     assert rows(pairs.select("user", us("first_ts"), us("last_ts"))) == play(
         ordered.StrictNextRule("fail", 5), log, 10_000
     )
-    followed = pat.followed_by(df, "user", order, "kind", "create", "pay", 20, chunk)
+    followed = pat.followed_by(df, "user", order, "kind", "create", "pay", 20, chunk, hot)
     got = followed.select(
         "user", "id", us("ts"), F.coalesce(us("then_ts"), F.lit(-1)), "status"
     )
     assert rows(got) == play(ordered.FollowedByRule("create", "pay", 20), log, 10_000)
     for within, times in ((3, 2), (15, 3), (60, 4)):
         bursts = pat.fail_bursts(
-            df, "user", order, "kind", "fail", "success", times, within, chunk
+            df, "user", order, "kind", "fail", "success", times, within, chunk, hot
         )
         got = bursts.select("user", us("first_ts"), us("last_ts"), "fails")
         assert rows(got) == play(
@@ -91,14 +92,14 @@ def test_long_bursts_walk_several_periods(spark):
     """One endless run of fails: periods follow each other from first fail to first fail."""
     log = [(i, 0, i * 2, "fail", 0.0) for i in range(100)]
     bursts = pat.fail_bursts(
-        frame(spark, log), "user", ["ts", "id"], "kind", "fail", "success", 3, 9, 13
+        frame(spark, log), "user", ["ts", "id"], "kind", "fail", "success", 3, 9, 13, 0
     )
     got = bursts.select(F.unix_timestamp("first_ts"), F.unix_timestamp("last_ts"), "fails")
     assert rows(got) == [(t, t + 8, 5) for t in range(0, 200, 10)]
 
 
-@pytest.mark.parametrize("chunk", [7, 1000])
-def test_rising_runs_equal_loop(spark, chunk):
+@pytest.mark.parametrize("chunk, hot", [(7, 0), (7, 60), (1000, 10_000)])
+def test_rising_runs_equal_loop(spark, chunk, hot):
     log = make_log(3)
     want = []
     for user, events in by_user(log).items():
@@ -110,7 +111,7 @@ def test_rising_runs_equal_loop(spark, chunk):
                 run = []
             if event is not None:
                 run.append(event)
-    runs = pat.rising_runs(frame(spark, log), "user", ["ts", "id"], "value", 3, chunk)
+    runs = pat.rising_runs(frame(spark, log), "user", ["ts", "id"], "value", 3, chunk, hot)
     got = runs.select(
         "user", F.unix_timestamp("first_ts"), F.unix_timestamp("last_ts"), "readings"
     )
@@ -137,6 +138,8 @@ def test_interval_join_equals_pairs(spark, lower, upper):
     )
     pairs = joins.interval_join(left, right, "user", "lt", "rt", lower, upper)
     assert rows(pairs.select("user", "id", "rid")) == want
+    narrow = joins.interval_join(left, right, "user", "lt", "rt", lower, upper, width=3)
+    assert rows(narrow.select("user", "id", "rid")) == want
     matched = joins.match_streams(left, right, "user", "lt", "rt", lower, upper)
     counts = dict(rows(matched.groupBy("status").count()))
     creates = {a[0] for a in log if a[3] == "create"}
@@ -165,7 +168,9 @@ def test_sliding_windows_equal_loop(spark, size, slide, offset):
     )
 
 
-def test_range_lookup_equals_scan(spark):
+@pytest.mark.parametrize("limit", [0, 500_000])
+def test_range_lookup_equals_scan(spark, monkeypatch, limit):
+    monkeypatch.setattr(joins, "BROADCAST_PIECES", limit)
     rnd = random.Random(7)
     edges = sorted(rnd.sample(range(5000), 40))
     bands = [(a, b - 1, i) for i, (a, b) in enumerate(zip(edges[::2], edges[1::2]))]
