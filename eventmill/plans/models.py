@@ -366,9 +366,23 @@ def fpm_itemsets(spark, sf_dir):
     return fpm.itemsets(fpm.mine(type_baskets(spark, sf_dir), 0.1, 0.3), 1, 3)
 
 
-@query("fpm_rules")
+# Rules from sets of two and of three items; six types at this support have no larger sets.
+ALL_RULES_SQL = BASKET_SQL + (
+    ", three AS (SELECT x.i AS a, y.i AS c, z.i AS e, count(*) AS freq FROM b x JOIN b y ON "
+    "x.o = y.o AND x.i < y.i JOIN b z ON z.o = y.o AND y.i < z.i GROUP BY 1, 2, 3 "
+    "HAVING count(*) >= (SELECT least FROM n)), "
+    "turned AS (SELECT a, c, e, freq FROM three UNION ALL SELECT a, e, c, freq FROM three "
+    "UNION ALL SELECT c, e, a, freq FROM three) "
+    "SELECT antecedent, 1::BIGINT AS size, consequent, confidence FROM rules UNION ALL "
+    "SELECT concat(t.a, ',', t.c), 2, t.e, round(t.freq / two.freq, 6) FROM turned t JOIN two "
+    "ON two.a = t.a AND two.c = t.c WHERE t.freq / two.freq >= 0.3"
+)
+
+
+@query("fpm_rules", ALL_RULES_SQL)
 def fpm_rules(spark, sf_dir):
-    return fpm.rules(fpm.mine(type_baskets(spark, sf_dir), 0.1, 0.3))
+    found = fpm.rules(fpm.mine(type_baskets(spark, sf_dir), 0.1, 0.3))
+    return found.withColumn("confidence", F.round("confidence", 6))
 
 
 @query("fpm_pair_rules", BASKET_SQL + "SELECT antecedent, consequent, confidence FROM rules")

@@ -18,6 +18,7 @@ from eventmill.sinks.tables import messages
 from eventmill.sources.readers import message_values, stream_source
 from eventmill.sources.tables import table, table_stream, with_item
 from eventmill.streaming import drain, ordered, windowed
+from eventmill.streaming.recovery import run_in_parts
 
 HOUR, DAY = 3600, 86400
 
@@ -480,9 +481,32 @@ def pat_followed_by_stream(spark, sf_dir):
     return judged.filter(F.col("create_us") <= end.scalar())
 
 
-@query("pat_fail_burst_stream")
+@query(
+    "pat_fail_burst_stream",
+    f"""
+WITH RECURSIVE logins AS (
+  SELECT user_id, event_id, event_type, epoch_us(ts) AS us,
+         sum(CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END)
+           OVER (PARTITION BY user_id ORDER BY ts, event_id) AS seg
+  FROM events WHERE event_type IN ('error', 'signup') AND epoch_us(ts) <= {LIMIT_US}),
+fails AS (SELECT user_id, seg, us FROM logins WHERE event_type = 'error'),
+periods AS (
+  SELECT user_id, seg, min(us) AS first_us FROM fails GROUP BY user_id, seg
+  UNION ALL
+  SELECT p.user_id, p.seg, (SELECT min(f.us) FROM fails f WHERE f.user_id = p.user_id
+         AND f.seg = p.seg AND f.us > p.first_us + 172800000000) AS first_us
+  FROM periods p WHERE EXISTS (SELECT 1 FROM fails f WHERE f.user_id = p.user_id
+         AND f.seg = p.seg AND f.us > p.first_us + 172800000000))
+SELECT p.user_id, p.first_us, max(f.us) AS last_us, count(*) AS fails
+FROM periods p JOIN fails f ON f.user_id = p.user_id AND f.seg = p.seg
+ AND f.us BETWEEN p.first_us AND p.first_us + 172800000000
+WHERE p.first_us + 172800000000 < {LIMIT_US}
+   OR EXISTS (SELECT 1 FROM logins l WHERE l.user_id = p.user_id AND l.seg > p.seg)
+GROUP BY p.user_id, p.seg, p.first_us HAVING count(*) >= 2
+""",
+)
 def pat_fail_burst_stream(spark, sf_dir):
-    """Compared with the batch form in the tests."""
+    """Periods that the watermark or a success has closed."""
     return ruled(
         spark, sf_dir, "bursts", ordered.FailBurstRule("error", "signup", 2, 2 * DAY)
     )
@@ -516,16 +540,39 @@ def pat_order_outcome_stream(spark, sf_dir):
 
 @query("stream_recovery", TOTALS)
 def stream_recovery(spark, sf_dir):
-    """Stop after half of the files, restart from the checkpoint, end with full totals."""
-    from eventmill.streaming.recovery import run_in_two_halves
+    """Stop after half of the rows, restart from the checkpoint, end with full totals."""
+    halves = table(spark, sf_dir, "events").select("user_id", "value").randomSplit([0.5, 0.5], 7)
+    path = run_in_parts(
+        halves, "user_id bigint, value double",
+        lambda stream, out: drain.start_batches(
+            windowed.running_totals(stream, ["user_id"], "value"), out, out + "-checkpoint",
+            "update",
+        ),
+    )
+    return drain.final_values(drain.read_batches(TOTAL_SCHEMA, spark, path), ["user_id"])
 
-    use_rocksdb_state(spark)
-    batches = run_in_two_halves(
-        table(spark, sf_dir, "events").select("user_id", "value"),
-        "user_id bigint, value double", TOTAL_SCHEMA,
-        lambda stream: windowed.running_totals(stream, ["user_id"], "value"),
+
+@query(
+    "late_dropped",
+    closed_sql(
+        "SELECT (t // 3600 + 1) * 3600 AS window_end, count(*) AS cnt FROM {EV} WHERE NOT "
+        "(event_type = 'signup' AND epoch_us(ts) < (SELECT max(epoch_us(ts)) - 86400000000 "
+        "FROM events)) GROUP BY 1", 60,
+    ),
+)
+def late_dropped(spark, sf_dir):
+    """Signups older than a day arrive after the rest, when their windows are closed."""
+    rows = table(spark, sf_dir, "events").select("ts", "event_type")
+    old = F.unix_micros("ts") < rows.agg(F.max(F.unix_micros("ts")) - DAY * 1_000_000).scalar()
+    is_late = (F.col("event_type") == "signup") & old
+    path = run_in_parts(
+        [rows.filter(~is_late), rows.filter(is_late)], "ts timestamp, event_type string",
+        lambda stream, out: drain.start_append(
+            windowed.window_counts(windowed.bounded(stream, "ts", 60), "ts", HOUR), out,
+            out + "-checkpoint",
+        ),
     )
-    return drain.final_values(batches, ["user_id"])
+    return spark.read.schema("cnt bigint, window_end bigint").parquet(path)
 
 
 @query(

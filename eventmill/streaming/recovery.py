@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame
 
 from eventmill.session import work_dir
 from eventmill.sources.readers import stream_source
-from eventmill.streaming import drain
 
 
 def run_with_restarts(start: Callable, attempts: int = 3, wait_seconds: float = 5.0) -> int:
@@ -29,20 +28,18 @@ def run_with_restarts(start: Callable, attempts: int = 3, wait_seconds: float =
     return attempts
 
 
-def run_in_two_halves(
-    rows: DataFrame,
-    input_schema: str,
-    output_schema: str,
-    job: Callable[[DataFrame], DataFrame],
-    mode: str = "update",
-) -> DataFrame:
-    """Process half of the input, stop, and resume from the checkpoint for the rest."""
-    spark = rows.sparkSession
+def run_in_parts(
+    parts: Sequence[DataFrame], input_schema: str, start: Callable[[DataFrame, str], object]
+) -> str:
+    """Deliver input in parts; after each, run what is there and stop.
+
+    Every run resumes from the checkpoint of the one before. ``start`` gets the
+    input stream and the result path; the path is returned.
+    """
+    spark = parts[0].sparkSession
     inbox, result = work_dir(spark, "inbox"), work_dir(spark, "resumed")
-    for half in rows.randomSplit([0.5, 0.5], seed=7):
-        half.write.mode("append").parquet(inbox)
-        stream = job(stream_source(spark, "parquet", inbox, input_schema))
-        run_with_restarts(
-            lambda s=stream: drain.start_batches(s, result, result + "-checkpoint", mode)
-        )
-    return drain.read_batches(output_schema, spark, result)
+    for part in parts:
+        part.write.mode("append").parquet(inbox)
+        stream = stream_source(spark, "parquet", inbox, input_schema)
+        run_with_restarts(lambda s=stream: start(s, result))
+    return result
