@@ -517,10 +517,11 @@ def tune_cross_validate(spark, sf_dir):
         ParamGridBuilder().addGrid(hashing.numFeatures, [10, 100, 1000])
         .addGrid(logistic.regParam, [0.1, 0.01]).build()
     )
+    texts = labelled_texts(spark, sf_dir).persist()
     fitted = models.cross_validated(
-        pipeline, grid, MulticlassClassificationEvaluator(metricName="accuracy"),
-        labelled_texts(spark, sf_dir).cache(),
+        pipeline, grid, MulticlassClassificationEvaluator(metricName="accuracy"), texts
     )
+    texts.unpersist()
     rows = [
         (*(float(v) for v in point.values()), float(score))
         for point, score in zip(grid, fitted.avgMetrics)
@@ -537,10 +538,11 @@ def tune_train_validation(spark, sf_dir):
         .addGrid(tree.maxDepth, [2, 5]).addGrid(tree.maxBins, [8, 32])
         .addGrid(tree.minInfoGain, [0.0, 0.05]).build()
     )
-    train, _ = vectors(spark, sf_dir)
+    train = vectors(spark, sf_dir)[0].persist()
     fitted = models.split_validated(
-        tree, grid, MulticlassClassificationEvaluator(metricName="accuracy"), train.cache()
+        tree, grid, MulticlassClassificationEvaluator(metricName="accuracy"), train
     )
+    train.unpersist()
     best = models.best_settings(fitted, fitted.validationMetrics, True)
     return spark.createDataFrame(sorted(best.items()), "setting string, best string")
 

@@ -10,6 +10,7 @@ import math
 from pyspark.sql import functions as F
 
 from eventmill.functions.parse import parse_json_order
+from eventmill.operators.rows import hash_split
 from eventmill.operators.windows import closed_windows, merge_panes, top_n_per_window
 from eventmill.plans.registry import query
 from eventmill.plans.windows import sliding_sql
@@ -541,9 +542,12 @@ def pat_order_outcome_stream(spark, sf_dir):
 @query("stream_recovery", TOTALS)
 def stream_recovery(spark, sf_dir):
     """Stop after half of the rows, restart from the checkpoint, end with full totals."""
-    halves = table(spark, sf_dir, "events").select("user_id", "value").randomSplit([0.5, 0.5], 7)
+    halves = hash_split(
+        table(spark, sf_dir, "events").select("event_id", "user_id", "value"),
+        ["event_id"], [0.5, 0.5], 7,
+    )
     path = run_in_parts(
-        halves, "user_id bigint, value double",
+        halves, "event_id bigint, user_id bigint, value double",
         lambda stream, out: drain.start_batches(
             windowed.running_totals(stream, ["user_id"], "value"), out, out + "-checkpoint",
             "update",

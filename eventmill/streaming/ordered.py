@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import sys
 from collections.abc import Iterator
+from itertools import islice
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
 MICROS = 1_000_000
+SLICE_ROWS = 10_000
 BUFFER_SCHEMA = "us bigint, row_id bigint, kind string, value double"
 
 
@@ -213,20 +215,25 @@ class OrderedProcessor(StatefulProcessor):
         return wanted
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        new = [(r["us"], r["row_id"], r["kind"], r["value"]) for r in rows]
-        if new:
+        first_us, rows = None, iter(rows)
+        # In slices: a hot key may bring more rows than fit in memory.
+        while piece := list(islice(rows, SLICE_ROWS)):
+            new = [(r["us"], r["row_id"], r["kind"], r["value"]) for r in piece]
             self.buffer.appendList(new)
+            earliest = min(r[0] for r in new)
+            first_us = earliest if first_us is None else min(first_us, earliest)
+        if first_us is not None:
             state, timer_ms = self._recall()
-            first_ms = -(-min(new)[0] // 1000)
-            if timer_ms is None or first_ms < timer_ms:
-                timer_ms = self._wake(min(new)[0], timer_ms)
+            if timer_ms is None or -(-first_us // 1000) < timer_ms:
+                timer_ms = self._wake(first_us, timer_ms)
                 self.memory.update((json.dumps(state), timer_ms))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         now = timerValues.getCurrentWatermarkInMs() * 1000
         state, timer_ms = self._recall()
-        waiting = sorted(tuple(r) for r in self.buffer.get()) if self.buffer.exists() else []
+        kept = self.buffer.get() if self.buffer.exists() else []
+        waiting = sorted((tuple(r) for r in kept), key=lambda r: r[:2])
         due = [r for r in waiting if r[0] <= now]
         later = waiting[len(due):]
         found = []
