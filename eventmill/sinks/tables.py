@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 
 def save_text(df: DataFrame, line: Column, path: str) -> None:
@@ -119,11 +118,3 @@ def order_route(kind: str | Column, known: Sequence[str], other: str = "other")
     """The route of a message type; unknown types go to ``other``."""
     kind = F.col(kind) if isinstance(kind, str) else kind
     return F.when(kind.isin(*known), kind).otherwise(other)
-
-
-def ranked_once(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Keep the newest full row per key (used for per-batch updates)."""
-    newest = W.partitionBy(*keys).orderBy(*[F.desc(c) for c in order])
-    return (
-        df.withColumn("_n", F.row_number().over(newest)).filter(F.col("_n") <= 1).drop("_n")
-    )
