@@ -35,6 +35,8 @@ MOST_RANGES = 1 << 13
 def with_anchors(df: DataFrame, text_col: str, name: str, k: int = K, s: int = S) -> DataFrame:
     """``df`` with ``name``: array of (pos, hash) of the anchors of a text, in order."""
     inner = k - s + 1
+    if inner < 3:
+        raise ValueError("a k-mer needs an s-mer between its edges")
     u, g, m = F.col("_units"), F.col("_smers"), F.col("_n") - k + 1
     step1 = df.withColumn(
         "_units",
@@ -54,9 +56,11 @@ def with_anchors(df: DataFrame, text_col: str, name: str, k: int = K, s: int = S
         *(F.slice(g, i + 1, F.greatest(m, F.lit(0))).alias(f"s{i}") for i in range(inner)),
         F.sequence(F.lit(0), F.greatest(m, F.lit(1)) - 1).alias("pos"),
     )
-    closed = lambda x: F.least(x["s0"], x[f"s{inner - 1}"]) <= F.least(
-        *(x[f"s{i}"] for i in range(1, inner - 1))
-    )
+    def closed(x):
+        middle = [x[f"s{i}"] for i in range(1, inner - 1)]
+        edge = F.least(x["s0"], x[f"s{inner - 1}"])
+        return edge <= (F.least(*middle) if len(middle) > 1 else middle[0])
+
     anchor = lambda x: F.struct(
         x["pos"].alias("pos"), F.xxhash64(*(x[f"s{i}"] for i in range(inner))).alias("hash")
     )
