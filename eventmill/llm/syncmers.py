@@ -28,7 +28,7 @@ from eventmill.llm.common import documents
 K, S = 4, 2
 SKETCH = 64
 UNIT = r"[^\x20\x09-\x0D]{1,12}"
-ROWS_PER_RANGE = 20_000
+ROWS_PER_RANGE = 2_000
 MOST_RANGES = 1 << 13
 
 
