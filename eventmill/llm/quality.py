@@ -134,8 +134,18 @@ def fit_threshold(
 def repeated_words(docs: DataFrame) -> DataFrame:
     """Per ``_row``: words that stand in a 3-word window found twice or more in the text."""
     window = F.when(F.col("c").isNotNull(), F.xxhash64("a", "b", "c"))
+    w = F.col("_words")
+    whole = F.greatest(F.size(w) - 2, F.lit(0))
+    windows = F.arrays_zip(*(F.slice(w, i + 1, whole).alias(f"w{i}") for i in range(3)))
+    hashes = F.transform(windows, lambda x: F.xxhash64(x["w0"], x["w1"], x["w2"]))
+    # Texts without a repeated window end here and are not shuffled.
+    some = (
+        docs.select("_row", "text").withColumn("_words", words(F.col("text")))
+        .withColumn("_hashes", hashes)
+        .filter(F.size("_hashes") > F.size(F.array_distinct("_hashes"))).select("_row", "text")
+    )
     found = (
-        with_windows(docs.select("_row", "text").repartition("_row"))
+        with_windows(some.repartition("_row"))
         .select("_row", "pos", window.alias("_window")).filter("_window IS NOT NULL")
     )
     same = Window.partitionBy("_row", "_window")
