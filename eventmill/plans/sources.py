@@ -193,11 +193,11 @@ def snk_upsert(spark, sf_dir):
     )
     updates = (
         table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "F")
-        .groupBy(F.col("o_custkey").alias("c_custkey"))
-        .agg(F.max("o_totalprice").alias("amount"))
+        .select(F.col("o_custkey").alias("c_custkey"), F.col("o_totalprice").alias("amount"))
     )
+    # A customer has many orders: the sink itself keeps one update per key.
     path = sink.upsert_to_version(
-        current, updates, ["c_custkey"], work_dir(spark, "upsert"), 1
+        current, updates, ["c_custkey"], ["amount"], work_dir(spark, "upsert"), 1
     )
     return readers.source(spark, "parquet", path, "c_custkey bigint, amount double")
 

@@ -27,19 +27,26 @@ def latest_per_key(
 
 
 def upserted(
-    current: DataFrame, updates: DataFrame, keys: Sequence[str], order: Sequence[str] = ()
+    current: DataFrame, updates: DataFrame, keys: Sequence[str], order: Sequence[str]
 ) -> DataFrame:
-    """Table after insert-or-update: untouched old rows plus the newest update per key."""
-    newest = updates
-    if order:
-        values = [c for c in current.columns if c not in keys]
-        newest = latest_per_key(updates, keys, order, values)
+    """Table after insert-or-update: untouched old rows plus one update per key.
+
+    Of several updates of a key the one that is last by ``order`` counts; updates that
+    are equal in ``order`` fall to the larger values.
+    """
+    values = [c for c in current.columns if c not in keys]
+    newest = latest_per_key(updates, keys, [*order, *values], values)
     untouched = current.join(newest.select(*keys), list(keys), "left_anti")
     return untouched.unionByName(newest.select(*current.columns))
 
 
 def upsert_to_version(
-    current: DataFrame, updates: DataFrame, keys: Sequence[str], path: str, version: int
+    current: DataFrame,
+    updates: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    path: str,
+    version: int,
 ) -> str:
     """Write the upserted table as a new version folder and return it.
 
@@ -47,7 +54,7 @@ def upsert_to_version(
     version again replaces it.
     """
     target = f"{path}/version={version}"
-    upserted(current, updates, keys).write.mode("overwrite").parquet(target)
+    upserted(current, updates, keys, order).write.mode("overwrite").parquet(target)
     return target
 
 

@@ -152,6 +152,12 @@ def test_upsert_keeps_newest(spark):
     ]
 
 
+def test_upsert_leaves_one_row_per_key_for_equal_updates(spark):
+    current = spark.createDataFrame([(1, "a")], "k int, v string")
+    updates = spark.createDataFrame([(1, "x", 5), (1, "y", 5), (1, "y", 5)], "k int, v string, at int")
+    assert rows(sink.upserted(current, updates, ["k"], ["at"])) == [(1, "y")]
+
+
 def test_broadcast_is_size_checked(spark, sf_dir):
     small = spark.range(10).withColumnRenamed("id", "k")
     assert "broadcast" in broadcast_if_small(small)._jdf.queryExecution().logical().toString()
