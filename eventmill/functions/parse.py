@@ -13,6 +13,11 @@ ACCESS_LINE = (
     r'^(\S+) (\S+) (\S+) \[([\w:/]+\s[+\-]\d{4})\] "(\S+) (\S+) (\S+)" (\d{3}) (\d+)$'
 )
 TRACKING_SEPARATOR = r"\^A"
+# Three parts of any kind, one that is not empty, then separators only.
+TRACKING_SHAPE = (
+    rf"(?s)^(?:(?:(?!{TRACKING_SEPARATOR}).)*{TRACKING_SEPARATOR}){{3}}"
+    rf"(?:(?!{TRACKING_SEPARATOR}).)+(?:{TRACKING_SEPARATOR})*$"
+)
 # Event aliases of tracking logs (launch, page view, order request,
 # order success, order refund, event).
 EVENT_ALIASES = ("e_l", "e_pv", "e_crt", "e_cs", "e_cr", "e_e")
@@ -92,12 +97,12 @@ def parse_tracking_log(lines: DataFrame, value: str) -> DataFrame:
     Empty parts at the end of a line do not count as parts.
     """
     prepare(lines.sparkSession)
-    # Step by step, so that no split is repeated for the columns that use it.
-    split = lines.select(F.split(value, TRACKING_SEPARATOR).alias("_part"))
+    # The shape is matched on the line itself: a filter on the parts would be pushed
+    # below their projection and split the line again.
     part = F.col("_part")
-    after = F.array_join(F.slice(part, F.lit(5), F.size(part)), "")
     return (
-        split.filter((F.get(part, F.lit(3)) != "") & (after == ""))
+        lines.filter(F.col(value).rlike(TRACKING_SHAPE))
+        .select(F.split(value, TRACKING_SEPARATOR).alias("_part"))
         .withColumn("_query", query_text(F.get(part, F.lit(3))))
         .select(
             F.get(part, F.lit(0)).alias("ip"),

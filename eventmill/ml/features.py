@@ -95,14 +95,16 @@ def term_weights(df: DataFrame, key: str, tokens: str) -> DataFrame:
 
 
 def word_vectors(
-    df: DataFrame, tokens: str, size: int = 16, partitions: int | None = None, seed: int = 42
+    df: DataFrame, tokens: str, size: int = 16, partitions: int | None = None, seed: int = 42,
+    least: int = 5,
 ):
     """Word2Vec model, trained on as many partitions as the cluster has cores by default.
 
-    Longer texts are cut into sentences of 1,000 words, none of which is dropped.
+    Words seen fewer than ``least`` times get no vector. Longer texts are cut into
+    sentences of 1,000 words, none of which is dropped.
     """
     partitions = partitions or df.sparkSession.sparkContext.defaultParallelism
     return Word2Vec(
-        inputCol=tokens, outputCol="vector", vectorSize=size, minCount=5, seed=seed,
+        inputCol=tokens, outputCol="vector", vectorSize=size, minCount=least, seed=seed,
         numPartitions=partitions, maxSentenceLength=1000,
     ).fit(df)

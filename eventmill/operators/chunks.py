@@ -7,7 +7,9 @@ rows are therefore cut into time chunks; all others stay whole. Windows run per
 summary with one row per (hot key, chunk), whose size is bounded by the time
 range and not by the number of events.
 
-Rows without a key or an event time belong to no sequence and are left out.
+A null key is a key like any other: the steps run over ``_key``, a struct of the
+keys, which is never null and equal where its fields are. Rows without an event
+time have no place in a sequence and are left out.
 """
 
 from __future__ import annotations
@@ -30,24 +32,24 @@ HOT_ROWS = 1_000_000
 def with_chunk(
     df: DataFrame, keys: Sequence[str], ts: str, seconds: int, hot_rows: int
 ) -> DataFrame:
-    """Add ``_chunk`` (0 for the only chunk of a key that is not hot) and ``_hot``."""
-    complete = df.dropna(subset=[*keys, ts])
+    """Add ``_key``, ``_chunk`` (0 for the only chunk of a key that is not hot), ``_hot``."""
+    complete = df.dropna(subset=[ts]).withColumn("_key", F.struct(*keys))
     hot = (
-        complete.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") >= hot_rows).select(*keys, F.lit(True).alias("_hot"))
+        complete.groupBy("_key").agg(F.count(F.lit(1)).alias("_rows"))
+        .filter(F.col("_rows") >= hot_rows).select("_key", F.lit(True).alias("_hot"))
     )
-    flagged = complete.join(F.broadcast(hot), list(keys), "left")
+    flagged = complete.join(F.broadcast(hot), "_key", "left")
     chunk = F.when(F.col("_hot"), floor_div(epoch(ts), seconds)).otherwise(F.lit(0))
     return flagged.withColumn("_chunk", chunk)
 
 
-def _attach(rows: DataFrame, carried: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _attach(rows: DataFrame, carried: DataFrame) -> DataFrame:
     """Bring the carry of each hot chunk to its rows.
 
-    ``rows`` comes from a window over (keys, chunk), whose partitioning and order
+    ``rows`` comes from a window over (key, chunk), whose partitioning and order
     serve this join too.
     """
-    return rows.join(carried.filter("_carry IS NOT NULL"), [*keys, "_chunk"], "left")
+    return rows.join(carried.filter("_carry IS NOT NULL"), ["_key", "_chunk"], "left")
 
 
 def with_previous(
@@ -61,27 +63,25 @@ def with_previous(
     """Add struct ``prev`` holding ``columns`` of the preceding row of the key.
 
     ``order[0]`` is the event time; further columns break ties. ``prev`` is null
-    on the first row of a key. ``_chunk`` and ``_hot`` stay for further steps.
+    on the first row of a key. ``_key``, ``_chunk`` and ``_hot`` stay for further steps.
     """
     chunked = with_chunk(df, keys, order[0], chunk_seconds, hot_rows)
     payload = F.struct(*columns)
-    last_rows = chunked.filter("_hot").groupBy(*keys, "_chunk").agg(
+    last_rows = chunked.filter("_hot").groupBy("_key", "_chunk").agg(
         F.max_by(payload, F.struct(*order)).alias("_last")
     )
     carried = last_rows.withColumn(
-        "_carry", F.lag("_last").over(W.partitionBy(*keys).orderBy("_chunk"))
-    ).select(*keys, "_chunk", "_carry")
-    inside = F.lag(payload).over(W.partitionBy(*keys, "_chunk").orderBy(*order))
+        "_carry", F.lag("_last").over(W.partitionBy("_key").orderBy("_chunk"))
+    ).select("_key", "_chunk", "_carry")
+    inside = F.lag(payload).over(W.partitionBy("_key", "_chunk").orderBy(*order))
     return (
-        _attach(chunked.withColumn("_inside", inside), carried, keys)
+        _attach(chunked.withColumn("_inside", inside), carried)
         .withColumn("prev", F.coalesce("_inside", "_carry"))
         .drop("_inside", "_carry")
     )
 
 
-def with_run_start(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], starts: Column
-) -> DataFrame:
+def with_run_start(df: DataFrame, order: Sequence[str], starts: Column) -> DataFrame:
     """Add ``run_start``: the ordering struct of the row that opened the run.
 
     ``starts`` marks rows that open a run; ``df`` must come from
@@ -89,18 +89,18 @@ def with_run_start(
     """
     marked = df.withColumn("_point", F.when(starts, F.struct(*order)))
     # Order structs grow along the key, so the latest start is the maximum.
-    latest = marked.filter("_hot").groupBy(*keys, "_chunk").agg(
+    latest = marked.filter("_hot").groupBy("_key", "_chunk").agg(
         F.max("_point").alias("_latest")
     )
-    before = W.partitionBy(*keys).orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
+    before = W.partitionBy("_key").orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
     carried = latest.withColumn("_carry", F.max("_latest").over(before)).select(
-        *keys, "_chunk", "_carry"
+        "_key", "_chunk", "_carry"
     )
     upto = (
-        W.partitionBy(*keys, "_chunk").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+        W.partitionBy("_key", "_chunk").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     )
     return (
-        _attach(marked.withColumn("_inside", F.max("_point").over(upto)), carried, keys)
+        _attach(marked.withColumn("_inside", F.max("_point").over(upto)), carried)
         .withColumn("run_start", F.coalesce("_inside", "_carry"))
         .drop("_point", "_inside", "_carry")
     )
@@ -119,21 +119,21 @@ def with_next(
     """Add ``output``: ``column`` of the next later row of the key that is ``wanted``."""
     hit = F.when(wanted, F.struct(*order, F.col(column).alias("_value")))
     marked = with_chunk(df, keys, order[0], chunk_seconds, hot_rows).withColumn("_hit", hit)
-    first_hits = marked.filter("_hot").groupBy(*keys, "_chunk").agg(
+    first_hits = marked.filter("_hot").groupBy("_key", "_chunk").agg(
         F.min("_hit").alias("_first")
     )
     # Frames run backwards in time, so that they only ever grow.
-    later = W.partitionBy(*keys).orderBy(F.desc("_chunk")).rowsBetween(W.unboundedPreceding, -1)
+    later = W.partitionBy("_key").orderBy(F.desc("_chunk")).rowsBetween(W.unboundedPreceding, -1)
     carried = first_hits.withColumn(
         "_carry", F.last("_first", ignorenulls=True).over(later)
-    ).select(*keys, "_chunk", "_carry")
+    ).select("_key", "_chunk", "_carry")
     inside = F.last("_hit", ignorenulls=True).over(
-        W.partitionBy(*keys, "_chunk")
+        W.partitionBy("_key", "_chunk")
         .orderBy(*[F.desc(c) for c in order])
         .rowsBetween(W.unboundedPreceding, -1)
     )
     return (
-        _attach(marked.withColumn("_inside", inside), carried, keys)
+        _attach(marked.withColumn("_inside", inside), carried)
         .withColumn(output, F.coalesce("_inside", "_carry")["_value"])
-        .drop("_hit", "_inside", "_carry", "_chunk", "_hot")
+        .drop("_hit", "_inside", "_carry", "_key", "_chunk", "_hot")
     )

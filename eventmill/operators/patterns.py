@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -71,7 +71,7 @@ def change_alerts(
     return (
         compared.filter(F.abs(F.col(value) - F.col(f"prev.{value}")) > threshold)
         .withColumn("prev_value", F.col(f"prev.{value}"))
-        .drop("prev", "_chunk", "_hot")
+        .drop("prev", "_key", "_chunk", "_hot")
     )
 
 
@@ -87,7 +87,7 @@ def rising_runs(
     """Maximal runs without a drop in value that last at least ``min_seconds``."""
     compared = with_previous(df, [key], order, [value], chunk_seconds, hot_rows)
     breaks = F.col("prev").isNull() | (F.col(value) < F.col(f"prev.{value}"))
-    runs = with_run_start(compared, [key], order, breaks)
+    runs = with_run_start(compared, order, breaks)
     ts = order[0]
     return (
         runs.groupBy(key, "run_start")
@@ -166,9 +166,11 @@ def fail_bursts(
         | (F.col(f"prev.{kind}") != fail)
         | (micros_between(F.col(ts), F.col(f"prev.{ts}")) > within * MICROS)
     )
-    runs = with_run_start(fails, [key], order, opens).select(key, "run_start", ts)
+    runs = with_run_start(fails, order, opens).select(
+        key, ts, F.struct(key, "run_start").alias("_run")
+    )
     per_run = (
-        runs.groupBy(key, "run_start")
+        runs.groupBy(key, "_run")
         .agg(
             F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"),
             F.count(F.lit(1)).alias("fails"),
@@ -176,19 +178,19 @@ def fail_bursts(
         .filter(F.col("fails") >= times)
     )
     fits = micros_between(F.col("last_ts"), F.col("first_ts")) <= within * MICROS
-    long_runs = per_run.filter(~fits).select(key, "run_start")
+    long_runs = per_run.filter(~fits).select("_run")
     steps = (
-        runs.join(long_runs, [key, "run_start"], "left_semi")
-        .groupBy(key, "run_start", ts)
+        runs.join(long_runs, "_run", "left_semi")
+        .groupBy(key, "_run", ts)
         .agg(F.count(F.lit(1)).alias("fails"))
-        .withColumn("run_id", F.to_json("run_start"))
+        .withColumn("run_id", F.to_json("_run"))
         .withColumn("at", F.unix_micros(ts))
         .select(key, "run_id", "at", "fails")
-        .repartition(key, "run_id")
-        .sortWithinPartitions(key, "run_id", "at")
+        .repartition("run_id")
+        .sortWithinPartitions("run_id", "at")
     )
     key_type = df.schema[key].dataType.simpleString()
-    walked = steps.mapInPandas(
+    walked = steps.mapInArrow(
         _period_walker(key, times, within * MICROS),
         f"{key} {key_type}, first_us bigint, last_us bigint, fails bigint",
     ).select(
@@ -201,23 +203,25 @@ def fail_bursts(
 def _period_walker(key: str, times: int, within_us: int):
     """Walk sorted (key, run, timestamp, count) rows; state is one open period."""
 
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        open_run, first, last, total = None, 0, 0, 0
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_run, who, first, last, total, kind = None, None, 0, 0, 0, None
+
+        def packed(found):
+            keys, *times_and_fails = zip(*found) if found else ((), (), (), ())
+            columns = [pa.array(keys, kind), *(pa.array(c, pa.int64()) for c in times_and_fails)]
+            return pa.RecordBatch.from_arrays(columns, [key, "first_us", "last_us", "fails"])
+
         for batch in batches:
-            found = []
-            columns = (batch[name].tolist() for name in (key, "run_id", "at", "fails"))
-            for who, run, at, fails in zip(*columns):
-                if open_run != (who, run) or at > first + within_us:
+            kind, found = batch.schema.field(0).type, []
+            for name, run, at, fails in zip(*(c.to_pylist() for c in batch.columns)):
+                if open_run != run or at > first + within_us:
                     if open_run is not None and total >= times:
-                        found.append((open_run[0], first, last, total))
-                    open_run, first, total = (who, run), at, 0
+                        found.append((who, first, last, total))
+                    open_run, who, first, total = run, name, at, 0
                 last, total = at, total + fails
-            yield pd.DataFrame(found, columns=[key, "first_us", "last_us", "fails"])
+            yield packed(found)
         if open_run is not None and total >= times:
-            yield pd.DataFrame(
-                [(open_run[0], first, last, total)],
-                columns=[key, "first_us", "last_us", "fails"],
-            )
+            yield packed([(who, first, last, total)])
 
     return walk
 

@@ -8,6 +8,7 @@ from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import HashingTF, Tokenizer
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
@@ -248,6 +249,23 @@ query("reg_lasso")(regression("lasso"))
 query("reg_ridge")(regression("ridge"))
 
 
+@query(
+    "reg_linear_slope",
+    "SELECT round(regr_slope(l_extendedprice, l_quantity), 3) AS slope, "
+    "round(regr_intercept(l_extendedprice, l_quantity), 2) AS intercept FROM lineitem",
+)
+def reg_linear_slope(spark, sf_dir):
+    """Least squares on one feature over the whole table, by the normal equations."""
+    lines = features.assemble(table(spark, sf_dir, "lineitem"), ["l_quantity"]).select(
+        "features", F.col("l_extendedprice").cast("double").alias("label")
+    )
+    model = LinearRegression(solver="normal").fit(lines)
+    return spark.createDataFrame(
+        [(round(float(model.coefficients[0]), 3), round(float(model.intercept), 2))],
+        "slope double, intercept double",
+    )
+
+
 # -- clustering ----------------------------------------------------------------------
 
 
@@ -258,6 +276,26 @@ def clu_kmeans(spark, sf_dir):
     return assigned.select("vec_id", F.col("prediction").cast("bigint").alias("cluster"))
 
 
+@query("clu_kmeans_nearest", "SELECT vec_id, true AS nearest FROM embeddings")
+def clu_kmeans_nearest(spark, sf_dir):
+    """Every row lies with the centre that is nearest to it, by its own distances."""
+    rows = features.array_features(table(spark, sf_dir, "embeddings"), "embedding")
+    model = models.kmeans(rows.select("vec_id", "features"))
+
+    def distance(centre):
+        squares = F.zip_with(
+            F.col("embedding").cast("array<double>"),
+            F.array(*[F.lit(float(c)) for c in centre]),
+            lambda x, c: (x - c) * (x - c),
+        )
+        return F.aggregate(squares, F.lit(0.0), lambda a, s: a + s)
+
+    distances = F.array(*[distance(c) for c in model.clusterCenters()])
+    assigned = model.transform(rows).withColumn("_d", distances)
+    nearest = F.get("_d", F.col("prediction")) <= F.array_min("_d") + 1e-9
+    return assigned.select("vec_id", nearest.alias("nearest"))
+
+
 CENTRES = ((0.0, 0.0), (25.0, 6.0), (50.0, 12.0), (75.0, 18.0))
 
 
@@ -547,10 +585,11 @@ def tune_train_validation(spark, sf_dir):
     return spark.createDataFrame(sorted(best.items()), "setting string, best string")
 
 
-@query("model_save_load")
+@query("model_save_load", "SELECT true AS same, count(*) AS cnt FROM embeddings")
 def model_save_load(spark, sf_dir):
-    """Predictions of a stored and reloaded model, counted against the original's."""
-    train, test = vectors(spark, sf_dir)
+    """Predictions of a stored and reloaded model for all rows, against the original's."""
+    train, held_out = vectors(spark, sf_dir)
+    test = train.unionByName(held_out)
     model = models.CLASSIFIERS["decision_tree"]().fit(train)
     loaded = models.save_and_load(model, work_dir(spark, "model"))
     both = model.transform(test).select("vec_id", F.col("prediction").alias("before")).join(

@@ -120,12 +120,16 @@ def fn_normalize_tokens(spark, sf_dir):
 
 @query(
     "fn_url_decode",
-    "SELECT page_id, url AS decoded FROM pages",
+    "SELECT page_id, 'a b/' || page_id || '=é & x' AS decoded, url FROM pages",
 )
 def fn_url_decode(spark, sf_dir):
-    # Decoding undoes the encoding of every URL in the table.
+    """A text with every kind of escape, and the URL after encoding and decoding it."""
+    escaped = F.concat(
+        F.lit("a+b%2F"), F.col("page_id").cast("string"), F.lit("%3d%C3%A9%20%26 x")
+    )
     return table(spark, sf_dir, "pages").select(
-        "page_id", scalar.url_decode(F.url_encode("url")).alias("decoded")
+        "page_id", scalar.url_decode(escaped).alias("decoded"),
+        scalar.url_decode(F.url_encode("url")).alias("url"),
     )
 
 

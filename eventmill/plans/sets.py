@@ -86,25 +86,27 @@ def repartition_coalesce(spark, sf_dir):
 )
 def per_partition_map(spark, sf_dir):
     def to_upper(resource, batch):
-        batch["label"] = batch["event_type"].map(resource)
+        batch["label"] = getattr(batch["event_type"].str, resource)()
         batch["doubled"] = batch["value"] * 2
         return batch[["event_id", "label", "doubled"]]
 
     events = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
     return rows.per_partition(
-        events, lambda: str.upper, to_upper, "event_id bigint, label string, doubled double"
+        events, lambda: "upper", to_upper, "event_id bigint, label string, doubled double"
     )
 
 
-@query("random_split")
+@query("random_split", "SELECT count(*) AS cnt, 2 AS parts FROM events")
 def random_split(spark, sf_dir):
-    """Sizes of a seeded 80 / 20 random split."""
+    """A seeded 80 / 20 random split: no part is empty, their sizes add up to the table."""
     parts = table(spark, sf_dir, "events").randomSplit([0.8, 0.2], seed=42)
     sizes = [
         p.agg(F.count(F.lit(1)).alias("cnt")).withColumn("part", F.lit(name))
         for name, p in zip(("train", "test"), parts)
     ]
-    return rows.union_all(sizes)
+    return rows.union_all(sizes).filter("cnt > 0").agg(
+        F.sum("cnt").alias("cnt"), F.count(F.lit(1)).cast("int").alias("parts")
+    )
 
 
 @query("random_split_hashed", "SELECT event_id FROM events")

@@ -581,7 +581,7 @@ def late_dropped(spark, sf_dir):
 
 @query(
     "stream_rate_cap",
-    "SELECT count(*) AS cnt FROM events",
+    "SELECT count(*) AS cnt, 4 AS batches FROM events",
 )
 def stream_rate_cap(spark, sf_dir):
     """One file per micro-batch: several capped batches, the same rows in the end."""
@@ -592,7 +592,10 @@ def stream_rate_cap(spark, sf_dir):
         spark, "parquet", path, "event_id bigint, value double", maxFilesPerTrigger=1
     )
     batches = drain.drain_batches(stream, "capped-out", "append", "event_id bigint, value double")
-    return batches.agg(F.count(F.lit(1)).alias("cnt"))
+    return batches.agg(
+        F.count(F.lit(1)).alias("cnt"),
+        F.count_distinct("batch_id").cast("int").alias("batches"),
+    )
 
 
 @query(

@@ -61,7 +61,7 @@ def udf_vector(spark, sf_dir):
 def udaf_udtf(spark, sf_dir):
     """A Python table function; the aggregate form is ``agg_group_max_udaf``."""
 
-    @F.udtf(returnType="word: string")
+    @F.udtf(returnType="word: string", useArrow=True)
     class SplitWords:
         def eval(self, text: str):
             for word in text.split("-"):

@@ -81,6 +81,13 @@ class RateLimitRule(Rule):
             found = [(row_id, count, "pass" if count <= self.limit else "warn")]
         return (us // self.period, count), found
 
+    def until(self, state, now):
+        # A period that is over counts no more rows.
+        return (None if state and now >= self.deadline(state) else state), []
+
+    def deadline(self, state):
+        return (state[0] + 1) * self.period if state else None
+
 
 class StrictNextRule(Rule):
     output = "first_us bigint, last_us bigint"
@@ -135,8 +142,8 @@ class FollowedByRule(Rule):
         if kind == self.first:
             return [*waiting, (row_id, us)], []
         if kind != self.then:
-            return waiting, []
-        return [], [
+            return state, []
+        return None, [
             (i, t, us, "paid") if us - t < self.within else (i, t, -1, "timeout")
             for i, t in waiting
         ]
@@ -144,7 +151,7 @@ class FollowedByRule(Rule):
     def until(self, state, now):
         waiting = state or []
         over = [(i, t, -1, "timeout") for i, t in waiting if now >= t + self.within]
-        return [(i, t) for i, t in waiting if now < t + self.within], over
+        return [(i, t) for i, t in waiting if now < t + self.within] or None, over
 
     def deadline(self, state):
         return state[0][1] + self.within if state else None
@@ -250,7 +257,10 @@ class OrderedProcessor(StatefulProcessor):
         fired = expiredTimerInfo.getExpiryTimeInMs()
         pending = None if timer_ms == fired else timer_ms
         timer_ms = self._wake(min(times) if times else None, pending)
-        self.memory.update((json.dumps(state), timer_ms))
+        if state is None and timer_ms is None:
+            self.memory.clear()  # nothing open: the key leaves no row behind
+        else:
+            self.memory.update((json.dumps(state), timer_ms))
         make = Row(*self.columns)
         return iter([make(*key, *out) for out in found])
 

@@ -84,6 +84,7 @@ def test_access_log_rejects_bad_lines(spark):
 
 def test_tracking_log_needs_four_parts(spark):
     lines = [("1.2.3.4^A1449410796.976^Ahost^A/l.gif?en=e_pv&u_ud=u",), ("a^Ab",), (" ",), ("a^Ab^Ac^A",), (None,)]
+    lines += [("a^Ab^Ac^A^Ad",), ("a^Ab^Ac^Ad^Ae",)]
     parsed = parse.parse_tracking_log(spark.createDataFrame(lines, "value string"), "value")
     assert parsed.count() == 1
     keyed = parse.tracking_row_keys(parsed).first()

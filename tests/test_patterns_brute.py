@@ -98,6 +98,27 @@ def test_long_bursts_walk_several_periods(spark):
     assert rows(got) == [(t, t + 8, 5) for t in range(0, 200, 10)]
 
 
+@pytest.mark.parametrize("hot", [0, 60, 10_000])
+def test_a_null_key_is_a_key(spark, hot):
+    """Same answers as under a key of its own, hot or not, in every ordered pattern."""
+    log = make_log(4)
+    named = frame(spark, log)
+    nameless = named.withColumn("user", F.nullif("user", F.lit(0)))
+    order = ["ts", "id"]
+    forms = (
+        lambda df: pat.change_alerts(df, "user", order, "value", 10.0, 7, hot),
+        lambda df: pat.rising_runs(df, "user", order, "value", 3, 7, hot),
+        lambda df: pat.strict_next(df, "user", order, "kind", "fail", 5, 7, hot),
+        lambda df: pat.followed_by(df, "user", order, "kind", "create", "pay", 20, 7, hot),
+        lambda df: pat.fail_bursts(df, "user", order, "kind", "fail", "success", 2, 3, 7, hot),
+    )
+    for form in forms:
+        want, got = form(named), form(nameless)
+        assert got.columns == want.columns
+        got = got.withColumn("user", F.coalesce("user", F.lit(0)))
+        assert rows(got.fillna(0)) == rows(want.fillna(0))
+
+
 @pytest.mark.parametrize("chunk, hot", [(7, 0), (7, 60), (1000, 10_000)])
 def test_rising_runs_equal_loop(spark, chunk, hot):
     log = make_log(3)
