@@ -59,6 +59,21 @@ def test_rules_do_not_depend_on_arrival(spark, name):
     assert got == want and got
 
 
+@pytest.mark.parametrize("rule", [ordered.RateLimitRule(3, 100), ordered.FailBurstRule("fail", "success", 2, 15)])
+def test_state_falls_to_the_open_keys(spark, rule):
+    log = [(i, i % 7, i, "fail", 0.0) for i in range(40)]
+    late = [(99, 50, 5_000, "fail", 0.0)], [(100, 51, 9_000, "fail", 0.0)]
+    stream = ordered.apply_rule(
+        feed(spark, [log[:20], log[20:], *late]), ("user",), "ts", rule, DELAY,
+        row_id="id", kind="kind", value="value",
+    )
+    path = work_dir(spark, "closed")
+    drain.start_append(stream, path, path + "-checkpoint").awaitTermination()
+    state = spark.read.format("statestore").option("stateVarName", "memory").load(path + "-checkpoint")
+    users = {r["key"]["user"] for r in state.collect()}
+    assert 51 in users and users <= {50, 51}
+
+
 def test_order_outcomes_are_corrected(spark):
     log = [
         (1, 1, 1, "create", 0.0), (2, 1, 10, "pay", 0.0),
