@@ -10,15 +10,16 @@
    for chance collisions (1/16), is within five standard errors of the threshold. Each
    class is then confirmed against its best partner on full sets, afterwards whatever
    still joins two components.
-4. Small buckets that still hold more than one component are finished by their
-   remaining pairs. A class with 24 or more small buckets has met its like there: a
-   passage that fills large buckets fills few of its bands. The other classes, those
-   that consist of such a passage, go on: their large mixed buckets are split by a
-   further band key, again and again. Nothing is capped.
+4. Buckets that still hold more than one component are finished. Small ones give rows
+   of their remaining pairs. Large ones are dealt into blocks, and every two blocks are
+   compared in one task on full sets: pairs of unlike components and near sizes, with a
+   sufficient estimate and no earlier band in common, linked where they are alike.
+   Only links leave the task. That is quadratic in the classes of a mixed bucket, in
+   array operations and spread over tasks. Nothing is capped or left out.
 
-A pair at the threshold shares none of 32 buckets with a chance of 3e-6 and none of 24
-with 7e-5, at 0.9 none of 24 with 1e-9; the estimate misses fewer. Copies are never
-expanded into pairs.
+So every pair that shares a bucket is compared, unless it is joined already. A pair at
+the threshold shares none of 32 buckets with a chance of 3e-6; the estimate misses
+fewer. Copies are never expanded into pairs.
 
 Nulls: without words or text a document is linked with nothing. A null id is linked
 with nothing, has a null component and is kept. Rows that repeat an id are one
@@ -31,7 +32,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from eventmill.llm.common import documents, stored
 from eventmill.llm.components import components
@@ -44,7 +44,9 @@ LONGS = MINIMA // PER_LONG
 PERCENT = 80
 ERRORS = 5.0
 SMALL = 64  # a bucket up to this size is finished by its remaining pairs
-ENOUGH = 24  # small or single buckets after which a class has met all it is like
+ENOUGH = 24  # no longer read: no class is left out of large buckets (a test still sets it)
+BLOCK = 1 << 18  # shingles of a block of a large bucket, with CLASS_COST for each class
+CLASS_COST = 256
 CHUNK = 2_048
 SEED = 20_240_601
 
@@ -180,12 +182,65 @@ def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
     return both.mapInArrow(run, "a long, b long")
 
 
+def block_links(block, width: int, percent: int):
+    """Links (a, b) that join components within a block, or between its sides 0 and 1.
+
+    ``block``: cid, label, n, band, bits, bands, text, side; one side only if it is
+    compared with itself. Every pair of two labels is linked, refuted or joined by others.
+    """
+    sets = [shingles(t, width) for t in block["text"]]
+    sizes = np.array([len(x) for x in sets], np.int64)
+    starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+    known, tokens = np.unique(np.concatenate(sets), return_inverse=True)
+    cids, sides = block["cid"].to_numpy(), block["side"].to_numpy()
+    labels = block["label"].to_numpy().copy()
+    bits = np.array(block["bits"].tolist(), np.int64).view(np.uint64)
+    earlier = np.array(block["bands"].tolist(), np.int64)[:, : int(block["band"].iloc[0])]
+    two_sided = len(np.unique(sides)) > 1
+    low_bits, chance = np.uint64(0x1111111111111111), 1.0 / (1 << BITS)
+    marked = np.zeros(len(known), bool)
+    rows = np.flatnonzero(sides == 0) if two_sided else np.arange(len(cids))
+    others = np.flatnonzero(sides == 1) if two_sided else rows
+    a, b = [], []
+    for k, x in enumerate(rows):
+        left = others if two_sided else others[k + 1 :]
+        n = sizes[x]
+        if not n:  # a blank text of a repeated id
+            continue
+        left = left[
+            (labels[left] != labels[x])
+            & (100 * np.minimum(sizes[left], n) >= percent * np.maximum(sizes[left], n))
+        ]
+        differ = bits[left] ^ bits[x]
+        differ |= differ >> np.uint64(1)
+        differ |= differ >> np.uint64(2)
+        unlike = np.bitwise_count(differ & low_bits).sum(1, dtype=np.int64)
+        guess = ((MINIMA - unlike) / MINIMA - chance) / (1.0 - chance)
+        left = left[guess >= least_estimate(percent)]
+        left = left[~(earlier[left] == earlier[x]).any(1)]
+        if not len(left):
+            continue
+        own = tokens[starts[x] : starts[x] + n]
+        marked[own] = True
+        length = sizes[left]
+        ends = np.cumsum(length)
+        at = np.arange(ends[-1]) + np.repeat(starts[left] - (ends - length), length)
+        common = np.add.reduceat(marked[tokens[at]].astype(np.int64), ends - length)
+        marked[own] = False
+        for y in left[100 * common >= percent * (n + length - common)]:
+            if labels[y] != labels[x]:
+                labels[labels == labels[y]] = labels[x]
+                a.append(min(cids[x], cids[y]))
+                b.append(max(cids[x], cids[y]))
+    return a, b
+
+
 def ordered(a: Column, b: Column) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
 class Search:
-    """The rounds of one near-duplicate search; tables live in the shared folder."""
+    """The steps of one near-duplicate search; tables live in the shared folder."""
 
     def __init__(self, classes: DataFrame, df: DataFrame, width: int, percent: int):
         self.classes, self.df, self.width, self.percent = classes, df, width, percent
@@ -263,50 +318,78 @@ class Search:
             if not links.isEmpty():
                 self.join_components(links)
 
+    def compare_blocks(self, large: DataFrame) -> None:
+        """Finish large buckets: all pairs of two components, block by block."""
+        rest = stored(self.mixed(large), "open")
+        if rest.isEmpty():
+            return
+        ids = rest.select(F.col("cid").alias("doc_id")).distinct()
+        texts = self.df.join(broadcast_if_small(stored(ids, "ids")), "doc_id", "left_semi")
+        texts = texts.filter("text IS NOT NULL").distinct()
+        sets = stored(
+            self.classes.select("cid", "n", "bits", "bands").join(
+                texts.withColumnRenamed("doc_id", "cid"), "cid"
+            ),
+            "sets",
+        )
+        rows = rest.select("key", "band", "cid", "label").join(sets, "cid")
+        cost = F.sum(F.col("n") + CLASS_COST)
+        blocks = stored(
+            rows.groupBy("key").agg(F.ceil(cost / F.lit(BLOCK)).cast("int").alias("blocks")),
+            "blocks",
+        )
+        own, other = F.col("_own"), F.col("_other")
+        dealt = (
+            rows.join(broadcast_if_small(blocks), "key")
+            .withColumn("_own", F.pmod(F.xxhash64("cid", "key"), F.col("blocks")).cast("int"))
+            .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .select(
+                "key", "band", "cid", "label", "n", "bits", "bands", "text",
+                F.least(own, other).alias("i"), F.greatest(own, other).alias("j"),
+                (own > other).cast("int").alias("side"),
+            )
+        )
+        width, percent = self.width, self.percent
+
+        def compare(block):
+            import pandas as pd
+
+            # Two blocks of which one is empty have nothing to compare here.
+            if block["i"].iloc[0] != block["j"].iloc[0] and block["side"].nunique() < 2:
+                return pd.DataFrame({"a": [], "b": []}, dtype="int64")
+            a, b = block_links(block, width, percent)
+            return pd.DataFrame({"a": a, "b": b}, dtype="int64")
+
+        links = stored(dealt.groupBy("key", "i", "j").applyInPandas(compare, "a long, b long"), "links")
+        if not links.isEmpty():
+            self.join_components(links)
+
     def run(self) -> DataFrame | None:
         """(cid, label) of the classes that are not the smallest of their component."""
-        keys = self.classes.select(
-            "cid", "copies", F.explode("bands").alias("key")
-        ).withColumn("used", F.array("key")).withColumn("keys", F.lit(BANDS).cast("long"))
-        while True:
-            members = self.shared(keys)
-            if members.isEmpty():
-                return self.labels
-            centres = stored(
-                members.groupBy("key").agg(
-                    F.min(F.struct(-F.col("copies"), F.xxhash64("cid", "key"), "cid")).alias("m")
-                ).select("key", F.col("m.cid").alias("centre")),
-                "centres",
-            )
-            starred = members.join(centres, "key")
-            self.confirm(
-                starred.filter("cid <> centre").select(*ordered(F.col("cid"), F.col("centre")))
-            )
-            mixed = stored(
-                self.mixed(members.filter((F.col("size") > 2) & (F.col("size") <= SMALL))), "mixed"
-            ).select("key", "cid", "label")
-            other = mixed.select("key", F.col("cid").alias("_cid"), F.col("label").alias("_label"))
-            self.confirm(
-                mixed.join(other, "key").filter("cid < _cid AND label <> _label")
-                .select(F.col("cid").alias("a"), F.col("_cid").alias("b"))
-            )
-            large = members.filter(F.col("size") > SMALL)
-            open_classes = (
-                large.groupBy("cid").agg(F.count("*").alias("_large"), F.first("keys").alias("_all"))
-                .filter(F.col("_all") - F.col("_large") < ENOUGH).select("cid")
-            )
-            rest = stored(self.mixed(large.join(open_classes, "cid", "left_semi")), "open")
-            if rest.isEmpty():
-                return self.labels
-            bands = self.classes.select("cid", F.explode("bands").alias("_band"))
-            further = (
-                rest.join(bands, "cid").filter(~F.array_contains("used", F.col("_band")))
-                .withColumn("used", F.array_sort(F.array_append("used", F.col("_band"))))
-                .select("cid", "copies", F.xxhash64("used").alias("key"), "used").distinct()
-            )
-            keys = stored(
-                further.withColumn("keys", F.count("*").over(Window.partitionBy("cid"))), "keys"
-            )
+        keys = self.classes.select("cid", "copies", F.posexplode("bands").alias("band", "key"))
+        members = self.shared(keys)
+        if members.isEmpty():
+            return self.labels
+        centres = stored(
+            members.groupBy("key").agg(
+                F.min(F.struct(-F.col("copies"), F.xxhash64("cid", "key"), "cid")).alias("m")
+            ).select("key", F.col("m.cid").alias("centre")),
+            "centres",
+        )
+        starred = members.join(centres, "key")
+        self.confirm(
+            starred.filter("cid <> centre").select(*ordered(F.col("cid"), F.col("centre")))
+        )
+        mixed = stored(
+            self.mixed(members.filter((F.col("size") > 2) & (F.col("size") <= SMALL))), "mixed"
+        ).select("key", "cid", "label")
+        other = mixed.select("key", F.col("cid").alias("_cid"), F.col("label").alias("_label"))
+        self.confirm(
+            mixed.join(other, "key").filter("cid < _cid AND label <> _label")
+            .select(F.col("cid").alias("a"), F.col("_cid").alias("b"))
+        )
+        self.compare_blocks(members.filter(F.col("size") > SMALL))
+        return self.labels
 
     def shared(self, keys: DataFrame) -> DataFrame:
         """Rows of buckets with two or more classes, with the bucket's ``size``."""

@@ -267,6 +267,28 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch, small):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def passage_copies():
+    """85 of 100 shingles are everyone's; four others make two texts of a group alike."""
+    passage = [f"p{i}" for i in range(86)]
+    rows = []
+    for group in range(100):
+        for n in range(2):
+            tail = [f"g{group}x{i}" for i in range(4)] + [f"o{group}n{n}x{i}" for i in range(11)]
+            rows.append(" ".join(passage + tail))
+    return list(enumerate(rows))
+
+
+def test_texts_that_consist_of_a_shared_passage_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "SMALL", 3)
+    monkeypatch.setattr(neardup, "BLOCK", 20_000, raising=False)
+    rows = passage_copies()
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(frame, width=2).collect()}
+    want, size = brute_components(rows, 2)
+    assert set(size.values()) == {100} and len(set(want.values())) == 100
+    assert got == want
+
+
 def test_near_duplicates_of_awkward_rows(docs, nothing):
     got = neardup.near_duplicates(docs, width=5).collect()
     assert len(got) == docs.count()
