@@ -1,18 +1,20 @@
 """Document fingerprints: closed syncmers over word units.
 
-A text is a sequence of units (words, long runs cut after 12 characters). A k-mer of
-units is an anchor if the smallest of its inner s-mers, by hash, is the first or the
-last: a property of the k-mer alone, so the same passage has the same anchors in any
-text. A text with fewer than k units is one anchor. The fingerprint is the sketch of
-the 64 smallest distinct anchor hashes, as text; likeness is the Jaccard estimate of
-two sketches (exact below 64 anchors).
+A text is a sequence of units: words of up to 12 characters, and each character of a
+longer run without blanks, so an insertion moves no other cut. A k-mer of units is an
+anchor if the smallest of its inner s-mers, by hash, is the first or the last: a
+property of the k-mer alone, so the same passage has the same anchors in any text. A
+text with fewer than k units is one anchor. The fingerprint is the array of all anchors
+(position, hash) in order. Likeness is the exact Jaccard similarity of the sets of
+anchor hashes. Aligned are the links that two texts share: an anchor, the next one and
+the distance between their positions, wherever in the text they stand.
 
 All of it is column expressions. The next document by descending id comes from one
 shuffle into id ranges of even counts; each range also gets the head of the range
 below it, so no task sees all ids.
 
-Nulls: a null text is empty, an empty text has the fingerprint '' (like only to another
-empty one); a null id comes last. Rows that repeat an id are ordered by text. With one
+Nulls: a null text is empty, an empty text has no anchors (like only to another empty
+one); a null id comes last. Rows that repeat an id are ordered by text. With one
 row, the next document is the row itself. An empty table gives no rows. Other columns
 are ignored.
 """
@@ -26,8 +28,8 @@ from pyspark.sql.window import Window
 from eventmill.llm.common import documents
 
 K, S = 4, 2
-SKETCH = 64
-UNIT = r"[^\x20\x09-\x0D]{1,12}"
+WORD = r"[^\x20\x09-\x0D]"
+UNIT = rf"(?<!{WORD}){WORD}{{1,12}}(?!{WORD})|{WORD}"
 ROWS_PER_RANGE = 2_000
 MOST_RANGES = 1 << 13
 
@@ -73,20 +75,46 @@ def with_anchors(df: DataFrame, text_col: str, name: str, k: int = K, s: int = S
     ).drop("_units", "_smers", "_n")
 
 
-def sketch(anchors: Column, size: int = SKETCH) -> Column:
-    return F.slice(F.sort_array(F.array_distinct(anchors["hash"])), 1, size)
+def hashes(anchors: Column) -> Column:
+    return F.array_distinct(anchors["hash"])
 
 
-def sketch_text(values: Column) -> Column:
-    return F.array_join(F.transform(values, lambda x: F.lpad(F.hex(x), 16, "0")), "")
+def links(anchors: Column) -> Column:
+    """Distinct hashes of neighbouring anchors with the distance of their positions."""
+    following = F.slice(anchors, 2, F.greatest(F.size(anchors) - 1, F.lit(0)))
+    first = F.slice(anchors, 1, F.greatest(F.size(anchors) - 1, F.lit(0)))
+    pairs = F.arrays_zip(first.alias("x"), following.alias("y"))
+    return F.array_distinct(F.transform(pairs, lambda p: F.xxhash64(
+        p["x"]["hash"], p["y"]["pos"] - p["x"]["pos"], p["y"]["hash"]
+    )))
 
 
-def likeness(a: Column, b: Column, size: int = SKETCH) -> Column:
-    """Jaccard estimate of two sketches; two empty ones are alike."""
-    lowest = F.slice(F.sort_array(F.array_union(a, b)), 1, size)
-    common = F.size(F.array_intersect(F.array_intersect(lowest, a), b))
-    both_empty = (F.size(a) == 0) & (F.size(b) == 0)
-    return F.when(both_empty, 1.0).otherwise(common / F.size(lowest)).cast("double")
+def likeness(a: Column, b: Column) -> Column:
+    """Jaccard similarity of two sets of hashes; two empty ones are alike."""
+    common = F.size(F.array_intersect(a, b))
+    whole = F.size(a) + F.size(b) - common
+    return F.when(whole == 0, 1.0).otherwise(common / whole).cast("double")
+
+
+def aligned(a: Column, b: Column) -> Column:
+    return F.size(F.array_intersect(a, b)).cast("long")
+
+
+def compared(df: DataFrame, base: str, others: list[str]) -> DataFrame:
+    """``df`` with ``near_<o>`` and ``aligned_<o>`` for each text column of ``others``.
+
+    The anchors of each column are kept as ``_<column>``.
+    """
+    for name in (base, *others):
+        df = with_anchors(df, name, f"_{name}")
+    for name in (base, *others):
+        df = df.withColumn(f"_h_{name}", hashes(F.col(f"_{name}"))).withColumn(
+            f"_l_{name}", links(F.col(f"_{name}"))
+        )
+    return df.withColumns({
+        f"{made}_{o}": rule(F.col(f"_{part}_{base}"), F.col(f"_{part}_{o}"))
+        for o in others for made, rule, part in (("near", likeness, "h"), ("aligned", aligned, "l"))
+    })
 
 
 def range_number(value: Column, bounds: list) -> list[Column]:
@@ -148,23 +176,16 @@ def op6_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select(
         "doc_id", F.coalesce("text", F.lit("")).alias("text")
     )
-    known = with_anchors(docs, "text", "_anchors").select(
-        "doc_id", "text", sketch(F.col("_anchors")).alias("sketch")
-    )
-    paired = with_next(known, "doc_id", ["text", "sketch"], "text")
+    # Only texts travel: anchors are longer than the text they are made of.
+    paired = with_next(docs, "doc_id", ["text"], "text")
     n, cut = F.col("n_chars"), F.floor(F.col("n_chars") / 3).cast("int")
     edited = F.concat(F.substring("text", 1, n - cut), F.substring("next_text", 1, cut))
     rows = paired.withColumn("n_chars", F.length("text")).select(
-        "doc_id", "n_chars", "sketch", "next_sketch", edited.alias("edited")
-    )
-    found = with_anchors(rows, "edited", "_anchors").withColumn(
-        "edited_sketch", sketch(F.col("_anchors"))
+        "doc_id", "n_chars", "text", edited.alias("edited"), F.col("next_text").alias("next")
     )
-    return found.select(
+    return compared(rows, "text", ["edited", "next"]).select(
         "doc_id", F.col("n_chars").cast("long").alias("n_chars"),
         F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
-        sketch_text(F.col("sketch")).alias("fingerprint"),
-        sketch_text(F.col("edited_sketch")).alias("edited_fingerprint"),
-        likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
-        likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+        F.col("_text").alias("fingerprint"), F.col("_edited").alias("edited_fingerprint"),
+        "near_edited", "near_next", "aligned_edited", "aligned_next",
     )

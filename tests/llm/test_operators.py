@@ -323,6 +323,23 @@ def test_anchors_are_closed_and_free_of_context(spark):
     assert 0.4 < len(rows["a"]) / 77 < 0.9
 
 
+def test_likeness_uses_all_anchors_and_positions(spark):
+    long = [f"t{i * i % 9_973}x{i % 89}" for i in range(20_000)]
+    edited = [*long[:9_000], "edited", *long[9_001:]]
+    passage = [f"o{i}" for i in range(30_000, 39_000)] + long[500:560]
+    run = "".join(chr(0x4E00 + i * i % 7_919) for i in range(600))
+    rows = [("edit", " ".join(long), " ".join(edited)), ("passage", " ".join(long), " ".join(passage)),
+            ("run", run, run[:5] + "x" + run[5:]), ("same", "a b", "a b"), ("none", "", None)]
+    df = spark.createDataFrame(rows, "k string, t string, o string")
+    got = {r.k: r for r in syncmers.compared(df, "t", ["o"]).collect()}
+    sets = {k: [{x.hash for x in r[f"_{c}"]} for c in "to"] for k, r in got.items()}
+    for k, (a, b) in sets.items():
+        assert got[k].near_o == (len(a & b) / len(a | b) if a | b else 1.0)
+    assert 0.999 < got["edit"].near_o < 1.0 and got["edit"]["_t"] != got["edit"]["_o"]
+    assert got["passage"].near_o > 0 and 20 < got["passage"].aligned_o < 60
+    assert got["run"].near_o > 0.95 and got["same"].near_o == got["none"].near_o == 1.0
+
+
 def test_next_document_and_edit(spark, monkeypatch):
     monkeypatch.setattr(syncmers, "ROWS_PER_RANGE", 3)
     rows = [(i * 7 % 23, f"text number {i} " * (i % 5)) for i in range(20)] + [(None, "last"), (2, "2 again")]
