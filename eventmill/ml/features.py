@@ -84,6 +84,11 @@ def hashed_idf(
     return Pipeline(stages=stages).fit(df).transform(df).drop("_tf")
 
 
+def summed_values(vector: str) -> Column:
+    """Sum of a sparse or dense vector's stored values; it is not made dense."""
+    return F.aggregate(F.unwrap_udt(vector)["values"], F.lit(0.0), lambda a, x: a + x)
+
+
 def term_weights(df: DataFrame, key: str, tokens: str) -> DataFrame:
     """Document frequency and weight ln((n + 1) / (df + 1)) of every term."""
     total = df.agg(F.count(F.lit(1))).scalar()

@@ -121,10 +121,9 @@ def documents(spark, sf_dir):
 
 @query("feat_tokenize_hash_idf")
 def feat_tokenize_hash_idf(spark, sf_dir):
-    weighted = features.hashed_idf(documents(spark, sf_dir), "tokens", size=1000)
-    weights = vector_to_array("features")
+    weighted = features.hashed_idf(documents(spark, sf_dir), "tokens")
     return weighted.select(
-        "doc_id", F.round(F.aggregate(weights, F.lit(0.0), lambda a, x: a + x), 4).alias("weight")
+        "doc_id", F.round(features.summed_values("features"), 4).alias("weight")
     )
 
 
@@ -180,7 +179,7 @@ def predicted(estimator, parts, params=None):
 @query("clf_naive_bayes")
 def clf_naive_bayes(spark, sf_dir):
     """Language of a text from its weighted terms."""
-    weighted = features.hashed_idf(documents(spark, sf_dir), "tokens", size=1000)
+    weighted = features.hashed_idf(documents(spark, sf_dir), "tokens")
     rows = features.index_categories(weighted, "lang", "label").select(
         "doc_id", "features", "label"
     )
@@ -361,7 +360,9 @@ def rec_top_users(spark, sf_dir):
 
 @query("rec_als_grid")
 def rec_als_grid(spark, sf_dir):
-    fitted = recommend.als_grid(ratings(spark, sf_dir), [5, 10], [0.1, 1.0])
+    fitted = recommend.als_grid(
+        ratings(spark, sf_dir), [5, 10, 20, 30, 50, 100], [0.01, 0.1, 1.0]
+    )
     rows = [
         (*(float(v) for v in point.values()), float(score))
         for point, score in zip(fitted.getEstimatorParamMaps(), fitted.validationMetrics)
@@ -573,8 +574,8 @@ def tune_train_validation(spark, sf_dir):
     tree = DecisionTreeClassifier(seed=42)
     grid = (
         ParamGridBuilder().addGrid(tree.impurity, ["gini", "entropy"])
-        .addGrid(tree.maxDepth, [2, 5]).addGrid(tree.maxBins, [8, 32])
-        .addGrid(tree.minInfoGain, [0.0, 0.05]).build()
+        .addGrid(tree.maxDepth, [10, 20, 30]).addGrid(tree.maxBins, [16, 32, 64])
+        .addGrid(tree.minInfoGain, [0.01, 0.05]).build()
     )
     train = vectors(spark, sf_dir)[0].persist()
     fitted = models.split_validated(
