@@ -1,8 +1,8 @@
 """Quality rules: hashed n-gram log-likelihood ratio of a trusted target and the corpus.
 
 Words and word pairs are hashed into buckets. The corpus multinomial counts every
-document; the target multinomial counts trusted ones (a stable, bounded sample of
-documents labelled good), smoothed towards the corpus. The score of a document is the
+document; the target multinomial counts half of the trusted ones (all documents
+labelled good, halved by a hash of the id), smoothed towards the corpus. The score of a document is the
 mean log ratio of its n-grams. The threshold is a low quantile of trusted documents
 that the target has not seen, less a margin, so it is the same for the same tables.
 Before it come base rules on length and repetition.
@@ -25,10 +25,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from eventmill.llm.common import SPACE_CLASS, documents, labels, unit_interval, words
+from eventmill.llm.common import SPACE_CLASS, documents, labels, stored, words
+from eventmill.session import broadcast_if_small
 
 BUCKETS = 1 << 15
-TRUSTED = 20_000  # about so many trusted documents; half fit the target, half the threshold
 SMOOTHING = 0.2  # weight of the corpus against the target's own counts
 QUANTILE = 0.002
 MARGIN = 0.01
@@ -61,21 +61,19 @@ def bucket(*parts: Column, buckets: int = BUCKETS) -> Column:
     return F.when(whole, F.pmod(F.xxhash64(*parts), F.lit(buckets)).cast("int"))
 
 
-def trusted_sample(marks: DataFrame, size: int) -> DataFrame:
-    """About ``size`` trusted ids with ``fold`` 0 (target) or 1 (threshold)."""
+def trusted_ids(marks: DataFrame) -> DataFrame:
+    """All trusted ids with ``fold`` 0 (target) or 1 (threshold)."""
     good = marks.filter("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
-    total = good.count()
-    share = min(1.0, size / max(1, total))
-    return good.filter(unit_interval(F.lit("trusted"), F.col("doc_id")) < share).select(
+    return good.select(
         "doc_id", F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(2)).alias("fold")
-    ).limit(2 * size)
+    )
 
 
 def fit_weights(
     docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, smoothing: float = SMOOTHING
 ) -> list[float]:
     """Log ratio of every bucket; empty if the target has no n-gram."""
-    marked = docs.join(F.broadcast(trusted.filter("fold = 0")), "doc_id", "left")
+    marked = docs.join(broadcast_if_small(trusted.filter("fold = 0")), "doc_id", "left")
     a, b = F.col("a"), F.col("b")
     grams = with_windows(marked.select("text", "fold")).select(
         "fold", F.explode(F.array(bucket(a, buckets=buckets), bucket(a, b, buckets=buckets))).alias("at")
@@ -121,7 +119,7 @@ def fit_threshold(
 ) -> float:
     if not weights:
         return 0.0
-    held = docs.join(F.broadcast(trusted.filter("fold = 1")), "doc_id")
+    held = docs.join(broadcast_if_small(trusted.filter("fold = 1")), "doc_id")
     scored = (
         with_windows(numbered(held)).groupBy("_row")
         .agg(mean_ratio(weights).alias("ratio"), F.count("a").alias("n"))
@@ -159,7 +157,6 @@ def repeated_words(docs: DataFrame) -> DataFrame:
 def quality_verdicts(
     docs: DataFrame,
     marks: DataFrame,
-    trusted: int = TRUSTED,
     buckets: int = BUCKETS,
     smoothing: float = SMOOTHING,
     quantile: float = QUANTILE,
@@ -167,9 +164,9 @@ def quality_verdicts(
 ) -> DataFrame:
     """Base figures, ratio and verdict of every document (doc_id, text)."""
     docs = docs.select("doc_id", "text")
-    sample = trusted_sample(marks, trusted)
-    weights = fit_weights(docs, sample, buckets, smoothing)
-    threshold = fit_threshold(docs, sample, weights, quantile, margin)
+    trusted = stored(trusted_ids(marks), "trusted")
+    weights = fit_weights(docs, trusted, buckets, smoothing)
+    threshold = fit_threshold(docs, trusted, weights, quantile, margin)
 
     text = F.coalesce(F.col("text"), F.lit(""))
     has_word = lambda x: x.rlike("[^" + SPACE_CLASS[1:])

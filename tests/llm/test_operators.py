@@ -134,6 +134,12 @@ def test_ratio_weights_are_those_of_the_two_multinomials(spark):
     assert r[1] > r[3] > r[2]
 
 
+def test_every_trusted_document_counts(spark):
+    marks = spark.range(50_000).selectExpr("id AS doc_id", "1 AS quality")
+    folds = dict(quality.trusted_ids(marks).groupBy("fold").count().collect())
+    assert set(folds) == {0, 1} and sum(folds.values()) == 50_000
+
+
 def test_ordinal_gradient_and_order():
     rng = np.random.default_rng(3)
     eta, t = rng.normal(size=20), np.array([-1.0, 0.2, 1.5])
