@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import SparkContext
 from pyspark.ml import Estimator
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -24,27 +25,61 @@ from pyspark.ml.tuning import CrossValidator, TrainValidationSplit
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+
+class WithoutSummary:
+    """Fits models that keep no training summary.
+
+    A summary refers to the session, and scoring sends the model to every task: once
+    the session has served an ``Observation`` it can no longer be serialised.
+    """
+
+    def _create_model(self, java_model):
+        nothing = SparkContext._active_spark_context._jvm.scala.Option.empty()
+        java_model.setSummary(nothing)
+        return super()._create_model(java_model)
+
+
+class Logistic(WithoutSummary, LogisticRegression):
+    pass
+
+
+class SupportVectors(WithoutSummary, LinearSVC):
+    pass
+
+
+class Forest(WithoutSummary, RandomForestClassifier):
+    pass
+
+
+class Linear(WithoutSummary, LinearRegression):
+    pass
+
+
+class Centres(WithoutSummary, KMeans):
+    pass
+
+
 # Settings of each model in the jobs these stand for.
 CLASSIFIERS = {
     "naive_bayes": lambda: NaiveBayes(),
     "decision_tree": lambda: DecisionTreeClassifier(
         impurity="gini", maxDepth=5, maxBins=8, seed=42
     ),
-    "random_forest": lambda: RandomForestClassifier(
+    "random_forest": lambda: Forest(
         numTrees=20, maxDepth=30, maxBins=40, featureSubsetStrategy="sqrt", seed=42
     ),
     "gbt": lambda: GBTClassifier(maxIter=5, seed=42),
-    "svm": lambda: LinearSVC(maxIter=100),
-    "logistic": lambda: LogisticRegression(maxIter=20, regParam=0.01),
+    "svm": lambda: SupportVectors(maxIter=100),
+    "logistic": lambda: Logistic(maxIter=20, regParam=0.01),
 }
 REGRESSORS = {
     "decision_tree": lambda: DecisionTreeRegressor(maxDepth=10, maxBins=64, seed=42),
     "random_forest": lambda: RandomForestRegressor(
         numTrees=10, featureSubsetStrategy="onethird", seed=42
     ),
-    "linear": lambda: LinearRegression(maxIter=20),
-    "lasso": lambda: LinearRegression(maxIter=20, regParam=0.01, elasticNetParam=1.0),
-    "ridge": lambda: LinearRegression(maxIter=20, regParam=0.01, elasticNetParam=0.0),
+    "linear": lambda: Linear(maxIter=20),
+    "lasso": lambda: Linear(maxIter=20, regParam=0.01, elasticNetParam=1.0),
+    "ridge": lambda: Linear(maxIter=20, regParam=0.01, elasticNetParam=0.0),
 }
 
 
@@ -55,7 +90,7 @@ def fit_predict(estimator: Estimator, train: DataFrame, test: DataFrame, params=
 
 
 def kmeans(df: DataFrame, k: int = 10, iterations: int = 20, seed: int = 42):
-    return KMeans(k=k, maxIter=iterations, seed=seed).fit(df)
+    return Centres(k=k, maxIter=iterations, seed=seed).fit(df)
 
 
 def nearest_centre(

@@ -4,11 +4,10 @@ Models have no SQL twin; feature steps, metrics and pair patterns do.
 """
 
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
+from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import HashingTF, Tokenizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
@@ -258,7 +257,7 @@ def reg_linear_slope(spark, sf_dir):
     lines = features.assemble(table(spark, sf_dir, "lineitem"), ["l_quantity"]).select(
         "features", F.col("l_extendedprice").cast("double").alias("label")
     )
-    model = LinearRegression(solver="normal").fit(lines)
+    model = models.Linear(solver="normal").fit(lines)
     return spark.createDataFrame(
         [(round(float(model.coefficients[0]), 3), round(float(model.intercept), 2))],
         "slope double, intercept double",
@@ -537,7 +536,7 @@ def labelled_texts(spark, sf_dir):
 
 def text_pipeline():
     hashing = HashingTF(inputCol="words", outputCol="features", numFeatures=1000)
-    logistic = LogisticRegression(maxIter=10, regParam=0.001)
+    logistic = models.Logistic(maxIter=10, regParam=0.001)
     stages = [Tokenizer(inputCol="text", outputCol="words"), hashing, logistic]
     return Pipeline(stages=stages), hashing, logistic
 

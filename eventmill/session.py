@@ -17,6 +17,11 @@ RESULT_SETTINGS = {
     # Of equally named URL parameters the last one counts.
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
 }
+# Texts are long: the usual 10,000 rows of a batch for Python may be far too many bytes.
+MEMORY_SETTINGS = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 * 1024 * 1024),
+}
 # Estimates count compressed files; in memory a table may take several times more.
 BROADCAST_LIMIT_BYTES = 16 * 1024 * 1024
 
@@ -39,10 +44,16 @@ def build_session(app: str = "eventmill", master: str | None = None, **conf) ->
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Pin the settings that change results, on a session made elsewhere."""
+    """Pin the settings that change results, on a session made elsewhere.
+
+    Batches for Python get a size bound, unless the session has one.
+    """
     for key, value in RESULT_SETTINGS.items():
         if spark.conf.get(key) != value:
             spark.conf.set(key, value)
+    for key, value in MEMORY_SETTINGS.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
     return spark
 
 
@@ -81,13 +92,6 @@ def work_dir(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_root(spark), f"{label}-{uuid.uuid4().hex}")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage through the shared folder (reliable checkpoint)."""
-    spark = df.sparkSession
-    spark.sparkContext.setCheckpointDir(os.path.join(shared_root(spark), "checkpoints"))
-    return df.checkpoint()
-
-
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's own size estimate; it errs on the large side, runs no job."""
     stats = df._jdf.queryExecution().optimizedPlan().stats()

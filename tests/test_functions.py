@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from eventmill.functions import enrich, parse, scalar
 from eventmill.operators import joins
-from eventmill.session import broadcast_if_small, checkpointed, prepare
+from eventmill.session import broadcast_if_small, prepare
 from eventmill.sinks import tables as sink
 
 
@@ -167,10 +167,3 @@ def test_broadcast_is_size_checked(spark, sf_dir):
     mapping = spark.createDataFrame([(1, 100)], "bad bigint, good bigint")
     named = joins.lookup_with_default(small, "k", mapping, "bad", "good", "final")
     assert dict(rows(named))[1] == 100 and dict(rows(named))[2] == 2
-
-
-def test_checkpoint_uses_shared_folder(spark):
-    df = checkpointed(spark.range(5))
-    assert df.count() == 5
-    folder = spark.conf.get("spark.checkpoint.dir")
-    assert folder in spark.sparkContext._jsc.sc().getCheckpointDir().get()

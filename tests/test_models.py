@@ -3,7 +3,10 @@
 import collections
 import math
 
+import pytest
 from pyspark.ml.feature import HashingTF
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
 from eventmill.ml import models, recommend
@@ -54,3 +57,27 @@ def test_hashed_weights_are_those_of_the_slots(spark, sf_dir):
     for k, v in counted.items():
         want = sum(n * idf[int(s)] for s, n in zip(v.indices, v.values, strict=True))
         assert math.isclose(got[k], want, abs_tol=1e-3)
+
+
+@pytest.fixture
+def observed(spark):
+    """A session that has served an Observation cannot be serialised any more."""
+    seen = Observation()
+    spark.range(3).observe(seen, F.count("*").alias("n")).count()
+    assert seen.get["n"] == 3
+    return spark
+
+
+@pytest.mark.parametrize("name", ["clf_logistic", "clf_svm", "clf_random_forest", "reg_ridge",
+                                  "clu_kmeans", "tune_pipeline", "tune_cross_validate"])
+def test_models_score_after_an_observation(observed, sf_dir, name):
+    assert QUERIES[name](observed, sf_dir).count() > 0
+
+
+def test_fitted_models_refer_to_no_session(observed, sf_dir):
+    train = plans.binary_vectors(observed, sf_dir)[0]
+    out = observed._jvm.java.io.ByteArrayOutputStream()
+    for name in ("logistic", "svm", "random_forest"):
+        model = models.CLASSIFIERS[name]().fit(train)
+        assert not model.hasSummary
+        observed._jvm.java.io.ObjectOutputStream(out).writeObject(model._java_obj)
