@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import os
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmill.session import shared_root, work_dir
+from eventmill.session import work_dir
 from eventmill.sources.tables import table
 
 # Words are runs of anything but space, tab, line feed, vertical tab, form feed
@@ -36,9 +37,24 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def use_checkpoints(spark: SparkSession) -> None:
-    """Let ``checkpoint()`` write to the shared folder."""
-    spark.sparkContext.setCheckpointDir(os.path.join(shared_root(spark), "checkpoints"))
+def handed_back(rows: Iterator) -> Iterator:
+    """``rows``; at their end the worker gives free memory back, as it lives on for later stages."""
+    import ctypes
+    import gc
+
+    try:
+        yield from rows
+    finally:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+
+def map_arrow(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+    """``mapInArrow`` whose workers keep no memory of finished tasks."""
+    return df.mapInArrow(lambda batches: handed_back(run(batches)), schema)
 
 
 def words(text: Column) -> Column:

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from eventmill.llm.common import documents, stored
+from eventmill.llm.common import documents, map_arrow, stored
 from eventmill.sources.tables import table
 
 TOP = 50
@@ -255,7 +255,7 @@ def restricted_vectors(df: DataFrame, id_col: str, text_col: str, number: dict[b
                 schema=schema,
             )
 
-    return df.select(F.col(id_col).cast("long"), text_col).mapInArrow(run, VECTORS)
+    return map_arrow(df.select(F.col(id_col).cast("long"), text_col), run, VECTORS)
 
 
 def _search_block(
@@ -325,7 +325,7 @@ def _search_block(
             )
 
     m = F.expr(f"100 - 50 + ((50 * n * {docs}L) div {length}L)").alias("m")
-    found = vectors.select("doc_id", m, "terms", "tfs").mapInArrow(run, FOUND)
+    found = map_arrow(vectors.select("doc_id", m, "terms", "tfs"), run, FOUND)
     best = Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_first("doc_id"))
     ids = df.sparkSession.createDataFrame(
         [(i, item_id) for i, (item_id, _) in enumerate(block)], "item int, item_id long"

@@ -29,7 +29,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 
-from eventmill.llm.common import SPACE_CHARS, documents
+from eventmill.llm.common import SPACE_CHARS, documents, map_arrow
 
 FRAME_BYTES = 1 << 16
 LEVEL = 1
@@ -264,7 +264,7 @@ def fill_in_middle(
                 rows.append((doc_id, n, form, prefix, middle, out.pack()))
             yield _batch(rows, schema)
 
-    return df.select(id_col, text_col).mapInArrow(run, TRANSFORMED)
+    return map_arrow(df.select(id_col, text_col), run, TRANSFORMED)
 
 
 def output_digests(transformed: DataFrame) -> DataFrame:
@@ -281,7 +281,7 @@ def output_digests(transformed: DataFrame) -> DataFrame:
             if rows:
                 yield _batch(rows, schema)
 
-    return transformed.mapInArrow(run, DIGESTED)
+    return map_arrow(transformed, run, DIGESTED)
 
 
 def op11_seekable_frames(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,6 +18,7 @@ scored each; other columns are ignored. Ties fall to the first language by name.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmill.llm.common import documents, unit_interval
+from eventmill.llm.common import documents, handed_back, unit_interval
 
 BUCKETS = 1 << 13
 MAX_N = 4
@@ -181,14 +182,18 @@ def predict_languages(
     """
 
     @F.pandas_udf("lang_pred string, score double")
-    def predict(texts: pd.Series) -> pd.DataFrame:
-        names, scores = [], []
-        for i in range(0, len(texts), batch):
-            part = [t if isinstance(t, str) else None for t in texts.iloc[i : i + batch]]
-            n, s = model.predict(part)
-            names += n
-            scores += s
-        return pd.DataFrame({"lang_pred": names, "score": scores})
+    def predict(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        def predicted():
+            for texts in parts:
+                names, scores = [], []
+                for i in range(0, len(texts), batch):
+                    part = [t if isinstance(t, str) else None for t in texts.iloc[i : i + batch]]
+                    n, s = model.predict(part)
+                    names += n
+                    scores += s
+                yield pd.DataFrame({"lang_pred": names, "score": scores})
+
+        return handed_back(predicted())
 
     rest = [F.col(c) for c in df.columns if c not in ("lang_pred", "score")]
     return df.withColumn("_found", predict(F.col(text_col))).select(

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmill.llm.common import documents, stored
+from eventmill.llm.common import documents, map_arrow, stored
 from eventmill.llm.components import components
 from eventmill.session import broadcast_if_small
 
@@ -44,7 +44,6 @@ LONGS = MINIMA // PER_LONG
 PERCENT = 80
 ERRORS = 5.0
 SMALL = 64  # a bucket up to this size is finished by its remaining pairs
-ENOUGH = 24  # no longer read: no class is left out of large buckets (a test still sets it)
 BLOCK = 1 << 18  # shingles of a block of a large bucket, with CLASS_COST for each class
 CLASS_COST = 256
 CHUNK = 2_048
@@ -152,7 +151,7 @@ def signatures(df: DataFrame, id_col: str, text_col: str, width: int) -> DataFra
                      for c, f in zip(columns, arrow, strict=True)], schema=arrow,
                 )
 
-    return df.select(F.col(id_col).cast("long").alias("doc_id"), text_col).mapInArrow(run, schema)
+    return map_arrow(df.select(F.col(id_col).cast("long").alias("doc_id"), text_col), run, schema)
 
 
 # -- confirmation ----------------------------------------------------------------
@@ -179,7 +178,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
                 [batch.column(0), batch.column(1)], names=["a", "b"]
             ).filter(pa.array(linked, pa.bool_()))
 
-    return both.mapInArrow(run, "a long, b long")
+    return map_arrow(both, run, "a long, b long")
 
 
 def block_links(block, width: int, percent: int):

@@ -9,7 +9,7 @@ penalty of cut j. With p the position of a cut,
     f[j] = penalty[j] + limit - p[j] + min(f[i] + p[i]),  p[j] - p[i] <= limit,
 
 so the minimum slides with the window: a monotone queue gives it in constant time
-per cut. The next smaller powers of two (1024, 512, 256) are looked up by position.
+per cut. The smaller powers of two are looked up by position.
 
 Work is done per input partition and in stretches of ``stretch`` ids, whose last
 window is carried into the next stretch, so memory is bounded by a stretch and the
@@ -36,17 +36,17 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from eventmill.llm.common import documents
+from eventmill.llm.common import documents, map_arrow
 
 LIMIT = 2048
 END_ID = 1
 SENTENCE_PENALTY = 8.0
 STEP_PENALTY = 48.0
 STEP = 128
-SHORTER = 3  # powers of two below the limit that count as full windows
 STRETCH = 1 << 18
-CACHE_WORDS = 300_000
-BATCH_BYTES = 8 << 20
+CACHE_BYTES = 24 << 20  # of each of two generations of known words
+WORD_COST = 200  # bytes of a cache entry beside its word and ranks
+BATCH_BYTES = 2 << 20
 # Fixed: the split of the word tokenizer, after lower-casing.
 PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
@@ -63,7 +63,7 @@ class WordIds:
     """Ids of texts by a lower-casing BPE that drops white space and marks word ends.
 
     Words between blanks are encoded on their own, each distinct one once per batch;
-    two generations of known words bound the memory. A word of letters runs through
+    two generations of known words, bounded by their bytes, are kept. A word of letters runs through
     the same merges, ranked by their order, over its bytes and an end mark; anything
     else goes to the tokenizer. Equal to encoding the whole text (tested).
     """
@@ -111,6 +111,7 @@ class WordIds:
             "words", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={}
         )._core_bpe.encode_single_piece
         self.parts = regex.compile(PARTS).findall
+        self.held = 0  # bytes of the new generation
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -140,13 +141,14 @@ class WordIds:
                 if known is None:
                     known = ranks(word)
                 new[word] = known
+                self.held += len(word) + len(known) + WORD_COST
             out.append(known)
         return out
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of every text; null texts have none."""
-        if len(self.new) > CACHE_WORDS:
-            self.old, self.new = self.new, {}
+        if self.held > CACHE_BYTES:
+            self.old, self.new, self.held = self.new, {}, 0
         blank = pc.replace_substring(pc.fill_null(texts, ""), "\n", " ")
         split = pc.split_pattern(blank, " ")
         coded = split.flatten().dictionary_encode()
@@ -202,7 +204,7 @@ def best_cuts(positions: list[int], penalties: list[float], limit: int) -> list[
     cost, back = [0.0] * n, [0] * n
     at = {positions[0]: 0}
     queue: deque[tuple[float, int]] = deque([(positions[0] + 0.0, 0)])
-    powers = [limit >> k for k in range(1, 1 + SHORTER)] if limit & (limit - 1) == 0 else []
+    powers = [1 << k for k in range(limit.bit_length() - 1) if 1 << k < limit][::-1]
     for j in range(1, n):
         p = positions[j]
         while positions[queue[0][1]] < p - limit:
@@ -337,7 +339,7 @@ def pack(
                 yield from rows(pieces)
         yield from rows(packer.place(last=True))
 
-    return df.select(id_col, text_col).mapInArrow(run, PIECES)
+    return map_arrow(df.select(id_col, text_col), run, PIECES)
 
 
 def op7_dp_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ longer run without blanks, so an insertion moves no other cut. A k-mer of units
 anchor if the smallest of its inner s-mers, by hash, is the first or the last: a
 property of the k-mer alone, so the same passage has the same anchors in any text. A
 text with fewer than k units is one anchor. The fingerprint is the array of all anchors
-(position, hash) in order. Likeness is the exact Jaccard similarity of the sets of
+(position, hash) in order; the query writes it out as a string. Likeness is the exact Jaccard similarity of the sets of
 anchor hashes. Aligned are the links that two texts share: an anchor, the next one and
 the distance between their positions, wherever in the text they stand.
 
@@ -75,6 +75,11 @@ def with_anchors(df: DataFrame, text_col: str, name: str, k: int = K, s: int = S
     ).drop("_units", "_smers", "_n")
 
 
+def written(anchors: Column) -> Column:
+    """All anchors as text, ``[{position, hash}, ...]``: equal texts, equal strings."""
+    return anchors.cast("string")
+
+
 def hashes(anchors: Column) -> Column:
     return F.array_distinct(anchors["hash"])
 
@@ -186,6 +191,7 @@ def op6_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compared(rows, "text", ["edited", "next"]).select(
         "doc_id", F.col("n_chars").cast("long").alias("n_chars"),
         F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
-        F.col("_text").alias("fingerprint"), F.col("_edited").alias("edited_fingerprint"),
+        written(F.col("_text")).alias("fingerprint"),
+        written(F.col("_edited")).alias("edited_fingerprint"),
         "near_edited", "near_next", "aligned_edited", "aligned_next",
     )

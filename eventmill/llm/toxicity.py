@@ -22,6 +22,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -29,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmill.llm.common import documents, labels, unit_interval
+from eventmill.llm.common import documents, handed_back, labels, unit_interval
 
 SAMPLE = 8_000  # labelled documents, half of them toxic where there are enough
 FEATURES = 1_024
@@ -235,11 +236,15 @@ def score_toxicity(df: DataFrame, model: OrdinalModel, text_col: str = "text") -
     """``df`` with ``severity`` (expected grade) and ``toxic_pred``."""
 
     @F.pandas_udf("severity double, toxic_pred boolean")
-    def score(texts: pd.Series) -> pd.DataFrame:
-        known = model
-        got = [known.vector(t if isinstance(t, str) else None) for t in texts]
-        chance = known.probabilities(got)
-        return pd.DataFrame({"severity": chance.sum(1), "toxic_pred": chance[:, 0] >= 0.5})
+    def score(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        def scored():
+            known = model
+            for texts in parts:
+                got = [known.vector(t if isinstance(t, str) else None) for t in texts]
+                chance = known.probabilities(got)
+                yield pd.DataFrame({"severity": chance.sum(1), "toxic_pred": chance[:, 0] >= 0.5})
+
+        return handed_back(scored())
 
     rest = [F.col(c) for c in df.columns if c not in ("severity", "toxic_pred")]
     return df.withColumn("_scored", score(F.col(text_col))).select(

@@ -21,6 +21,7 @@ import io
 import struct
 import uuid
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import pandas as pd
 import zstandard as zstd
@@ -57,7 +58,11 @@ def record_bytes(kind, page_id, url, payload: bytes, size: int, digest: str, ref
     if page_id is not None:
         head.append(f"X-Page-ID: {page_id}")
     if url is not None:
-        head.append("WARC-Target-URI: " + "".join(url.splitlines()))
+        # A line break would end the header: such an address is escaped, and marked.
+        plain = "\r" not in url and "\n" not in url
+        head.append("WARC-Target-URI: " + (url if plain else quote(url)))
+        if not plain:
+            head.append("X-Target-URI-Escaped: percent")
     if kind == "revisit":
         source = uuid.uuid5(uuid.NAMESPACE_URL, f"{refers_to} {digest}")
         head += [
@@ -89,10 +94,13 @@ def parse_record(data: bytes) -> dict:
         len(payload) != size or hashlib.sha256(payload).hexdigest() != stated
     ):
         raise ValueError("payload differs from its digest")
+    url = fields.get("warc-target-uri")
+    if "x-target-uri-escaped" in fields:
+        url = unquote(url)
     number = lambda k: int(fields[k]) if k in fields else None
     return {
         "page_id": number("x-page-id"),
-        "url": fields.get("warc-target-uri"),
+        "url": url,
         "payload_bytes": size,
         "payload_digest": stated,
         "record_type": kind,
@@ -213,7 +221,7 @@ def write_archives(
         .select("digest", "first_id"),
         "warc-first",
     )
-    refers = F.when(F.col("first_id") != F.coalesce("page_id", F.lit(-1)), F.col("first_id"))
+    refers = F.when(~F.col("first_id").eqNullSafe(F.col("page_id")), F.col("first_id"))
     rows = rows.join(first, "digest", "left").withColumn("refers_to", refers)
     # A revisit carries no payload; it need not leave the JVM.
     rows = rows.withColumn("payload", F.when(F.col("refers_to").isNull(), F.col("payload"))).select(
@@ -322,8 +330,9 @@ WITH p AS (
 f AS (
   SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM p)
 SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
-  CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END
+  CASE WHEN payload_bytes >= 100 AND page_id IS DISTINCT FROM first_id THEN 'revisit'
+    ELSE 'response' END
     AS record_type,
-  CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+  CASE WHEN payload_bytes >= 100 AND page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to
 FROM f
 """

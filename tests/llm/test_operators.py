@@ -264,7 +264,6 @@ def copies():
 @pytest.mark.parametrize("small", [64, 3])
 def test_near_duplicates_equal_brute_force(spark, monkeypatch, small):
     monkeypatch.setattr(neardup, "SMALL", small)
-    monkeypatch.setattr(neardup, "ENOUGH", 24 if small == 64 else 33)
     rows = copies()
     got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width=2).collect()
     want, size = brute_components(rows, 2)
@@ -376,7 +375,7 @@ def test_cuts_cost_as_little_as_brute_force():
         positions = np.cumsum(np.concatenate(([0], rng.integers(1, 9, 25)))).tolist()
         penalties = [0.0, *rng.integers(0, 6, 25).astype(float)]
         limit = 16
-        short = [limit >> k for k in range(1, 1 + packing.SHORTER)]
+        short = [8, 4, 2, 1]
         price = lambda n: 0 if n in short else limit - n
         best = [0.0] + [np.inf] * 25
         for j in range(1, 26):
@@ -463,3 +462,78 @@ def test_collapsed_product_equals_the_kernel_expansion():
     scores = model.scores(rows)
     assert np.mean([model.languages[i] == n for i, n in zip(scores.argmax(1), names)]) > 0.8
     assert np.allclose(model.scores(rows[:5]), scores[:5], atol=1e-5)
+
+
+def test_syncmers_follow_the_selection_rule(spark):
+    """Anchors by hand: the smallest inner s-mer, by hash, is the first or the last."""
+    import xxhash
+
+    def signed(x):
+        return x - (1 << 64) if x >> 63 else x
+
+    def chain(values):
+        h = 42
+        for v in values:
+            h = xxhash.xxh64_intdigest((v & (1 << 64) - 1).to_bytes(8, "little"), seed=h)
+        return signed(h)
+
+    def units(text):
+        out = []
+        for word in words(text):
+            out += [word] if len(word) <= 12 else list(word)
+        return [signed(xxhash.xxh64_intdigest(u.encode(), seed=42)) for u in out]
+
+    texts = [*TEXTS, " ".join(f"t{i * i % 97}" for i in range(500)), "same " * 40, "日本語の文 and words " * 9]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, t string")
+    got = {r.i: r for r in syncmers.with_anchors(df, "t", "a")
+           .withColumn("written", syncmers.written(F.col("a"))).collect()}
+    for i, text in enumerate(texts):
+        u = units(text)
+        if len(u) < syncmers.K:
+            want = [(0, chain(u))] if u else []
+        else:
+            s = [chain(u[j : j + syncmers.S]) for j in range(len(u) - syncmers.S + 1)]
+            want = [(j, chain(s[j : j + 3])) for j in range(len(u) - syncmers.K + 1)
+                    if min(s[j], s[j + 2]) <= s[j + 1]]
+        assert [(a["pos"], a["hash"]) for a in got[i].a] == want
+        assert got[i].written == "[" + ", ".join(f"{{{p}, {h}}}" for p, h in want) + "]"
+
+
+def test_syncmer_query_on_awkward_rows(spark, docs, nothing, monkeypatch):
+    def query(df):
+        monkeypatch.setattr(syncmers, "documents", lambda *_: df)
+        return syncmers.op6_closed_syncmers(spark, "")
+
+    clashing = docs.withColumn("text_", F.lit(1)).withColumn("fingerprint", F.lit(2)).withColumn(
+        "next", F.lit(3)).withColumn("edited", F.lit(4))
+    found = query(clashing)
+    assert dict(found.dtypes)["fingerprint"] == dict(found.dtypes)["edited_fingerprint"] == "string"
+    rows = found.collect()
+    assert len(rows) == docs.count() == len(TEXTS) + 3
+    ring = sorted(((r.doc_id, r.text or "") for r in docs.collect()),
+                  key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+    want = collections.Counter()
+    for i, (doc_id, text) in enumerate(ring):
+        cut = len(text) // 3
+        edited = text[: len(text) - cut] + ring[(i + 1) % len(ring)][1][:cut]
+        want[(doc_id, len(text), hashlib.sha256(edited.encode()).hexdigest())] += 1
+    assert collections.Counter((r.doc_id, r.n_chars, r.edited_sha256) for r in rows) == want
+    by = collections.defaultdict(set)
+    for r in rows:
+        assert 0.0 <= r.near_edited <= 1.0 and 0.0 <= r.near_next <= 1.0
+        by[r.doc_id].add(r.fingerprint)
+    assert by[5] == by[6] and by[0] == by[1] == by[2] == {"[]"}
+    assert query(nothing).count() == 0
+
+
+def test_null_ids_revisit_and_addresses_round_trip(spark):
+    page = "<p>" + "x" * 200
+    urls = ["a\x0bb\nc", "a%0Ab", "", None, "é ü\r\nWARC-Type: revisit", "http://x/?q=1&b=%20 "]
+    rows = [(-1, "first", page), (None, "second", page)] + [(i, u, "short") for i, u in enumerate(urls)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn(
+        "payload", F.lit(1)).withColumn("digest", F.lit(2)).withColumn("first_id", F.lit(3))
+    got = {r.page_id: r for r in warc.read_archives(warc.write_archives(df)).collect()}
+    assert (got[-1].record_type, got[-1].refers_to) == ("response", None)
+    assert (got[None].record_type, got[None].refers_to) == ("revisit", -1)
+    assert [got[i].url for i in range(len(urls))] == urls
+    assert warc.read_archives(warc.write_archives(df.limit(0))).count() == 0
