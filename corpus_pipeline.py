@@ -13,7 +13,12 @@ but the last return the columns of ``documents``:
   ``REPETITIONS`` times, and loses none;
 * packing returns pieces of sequences of 2,048 tokens.
 
-Each stage of an empty table returns no rows. Extra columns travel along to the last.
+Each stage of an empty table returns no rows. Input rows travel whole through the first
+four stages, so an extra column keeps its values whatever its name. A null or empty text
+is not toxic, has no language (the second stage drops it) and, where a stage gets it
+alone, is like no other, counts one token and packs as its end id. Very long texts are
+read whole. Ties: equal texts share their verdicts; of rows that repeat an id the one
+with the smallest hash of its columns stays; copies of a row are mixed together.
 """
 
 from __future__ import annotations
@@ -34,16 +39,21 @@ ENTROPY = 0.95
 REPETITIONS = 2.0
 
 
+def whole(docs: DataFrame, *read: str) -> DataFrame:
+    """The columns a stage reads, and the input row as one, out of reach of its own names."""
+    return docs.select(F.struct(*docs.columns).alias("_row"), *read)
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = fit_toxicity(docs, labels(spark, sf_dir))
-    return score_toxicity(docs, model).filter("NOT toxic_pred").select(*docs.columns)
+    return score_toxicity(whole(docs, "text"), model).filter("NOT toxic_pred").select("_row.*")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = fit_languages(docs.filter(~held_out()))
-    found = predict_languages(docs, model)
+    found = predict_languages(whole(docs, "text"), model)
     known = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE)
-    return found.filter(known).select(*docs.columns)
+    return found.filter(known).select("_row.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,16 +68,22 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         .select("doc_id"),
         "repeated",
     )
-    # Few ids repeat, if any; only their rows are brought together.
+    # Few ids repeat, if any; of their rows one stays, picked by a hash of its columns.
     once = named.join(broadcast_if_small(repeated), "doc_id", "left_anti")
-    first = named.join(broadcast_if_small(repeated), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    first = (
+        named.join(broadcast_if_small(repeated), "doc_id", "left_semi")
+        .groupBy("doc_id").agg(
+            F.min_by(F.struct(*docs.columns), F.xxhash64(F.struct(*docs.columns))).alias("_row")
+        ).select("_row.*")
+    )
     nameless = docs.filter("doc_id IS NULL")
     columns = docs.columns
     return once.select(*columns).unionByName(first.select(*columns)).unionByName(nameless)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mix(docs, entropy=ENTROPY, repetitions=REPETITIONS).select(*docs.columns)
+    rows = whole(docs, "doc_id", "source", "text")
+    return mix(rows, entropy=ENTROPY, repetitions=REPETITIONS).select("_row.*")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
