@@ -19,6 +19,9 @@ from eventmill.sinks.tables import messages
 from eventmill.sources.readers import message_values, stream_source
 from eventmill.sources.tables import table, table_stream, with_item
 from eventmill.streaming import drain, ordered, windowed
+from eventmill.streaming.arrivals import heartbeat, replayed
+from eventmill.streaming.firing import OUTPUT as FIRED
+from eventmill.streaming.firing import firing_windows
 from eventmill.streaming.recovery import run_in_parts
 
 HOUR, DAY = 3600, 86400
@@ -69,8 +72,8 @@ def wm_periodic_punctuated(spark, sf_dir):
     return drain.drain_append(windowed.window_counts(marks, "mark_ts", HOUR), "wm-punctuated")
 
 
-@query("late_allowed", HOURLY_VIEWS)
-def late_allowed(spark, sf_dir):
+@query("late_allowed_update", HOURLY_VIEWS)
+def late_allowed_update(spark, sf_dir):
     """Update mode: a window's count is refreshed by late rows while it is open."""
     stream = windowed.bounded(views(spark, sf_dir), "ts", 10, lateness=60)
     batches = drain.drain_batches(
@@ -80,6 +83,68 @@ def late_allowed(spark, sf_dir):
     return drain.final_values(batches, ["window_end"])
 
 
+LATENESS = 2 * DAY
+# Of the views in the first half of the time, three of ten come late: after the others
+# of that half, and before the second half. What the stream has reached by then:
+LATE_INPUT = """
+WITH views AS (SELECT *, epoch_us(ts) // 1000000 AS t, (epoch_us(ts) // 3600000000 + 1) * 3600
+    AS window_end FROM events WHERE event_type = 'view'),
+half AS (SELECT (min(epoch_us(ts)) + max(epoch_us(ts))) // 2 AS us FROM views),
+parts AS (SELECT views.*, CASE WHEN epoch_us(ts) >= us THEN 3 WHEN event_id % 10 < 3 THEN 2
+    ELSE 1 END AS part FROM views, half),
+reached AS (SELECT max(epoch_us(ts)) / 1000000 - 10 AS mark FROM parts WHERE part = 1),
+judged AS (SELECT parts.*, part = 2 AND window_end + {lateness} <= mark AS late,
+    part = 2 AND window_end <= mark AND window_end + {lateness} > mark AS again FROM parts, reached)
+""".replace("{lateness}", str(LATENESS))
+
+
+def late_views(spark, sf_dir):
+    """Three parts of the views and a heartbeat, each its own run of the query."""
+    views = table(spark, sf_dir, "events").filter("event_type = 'view'").select("event_id", "ts")
+    us = F.unix_micros("ts")
+    half = views.agg(F.floor((F.min(us) + F.max(us)) / 2).cast("bigint")).scalar()
+    second, late = us >= half, F.col("event_id") % 10 < 3
+    parts = [views.filter(~second & ~late), views.filter(~second & late), views.filter(second)]
+    return run_in_parts(
+        [*parts, heartbeat(views, "ts")], "event_id bigint, ts timestamp",
+        lambda stream, out: drain.start_append(
+            firing_windows(stream, "ts", "event_id", HOUR, 10, LATENESS), out, out + "-checkpoint"
+        ),
+    )
+
+
+@query(
+    "late_allowed",
+    LATE_INPUT + """,
+base AS (SELECT window_end, count(*) AS cnt FROM judged WHERE NOT late AND NOT again
+    GROUP BY window_end),
+late_rows AS (SELECT window_end, row_number() OVER (PARTITION BY window_end) AS k
+    FROM judged WHERE again)
+SELECT window_end, 1 AS firing, cnt FROM base
+UNION ALL SELECT window_end, k + CASE WHEN cnt IS NULL THEN 0 ELSE 1 END, k + coalesce(cnt, 0)
+FROM late_rows LEFT JOIN base USING (window_end)""",
+)
+def late_allowed(spark, sf_dir):
+    """Hourly counts that fire at the watermark and again, whole, for each late row."""
+    found = spark.read.schema(FIRED).parquet(late_views(spark, sf_dir))
+    return found.filter("outcome = 'fired'").select("window_end", "firing", "cnt")
+
+
+@query(
+    "late_dropped_rows",
+    LATE_INPUT + """SELECT window_end, count(*) FILTER (NOT late) AS kept,
+    count(*) FILTER (late) AS dropped FROM judged GROUP BY window_end""",
+)
+def late_dropped_rows(spark, sf_dir):
+    """Rows counted and rows too late for their window; together all rows."""
+    found = spark.read.schema(FIRED).parquet(late_views(spark, sf_dir))
+    return found.groupBy("window_end").agg(
+        F.coalesce(F.max("cnt"), F.lit(0)).alias("kept"),
+        F.count("row_id").alias("dropped"),
+    )
+
+
+
 UV = (
     "SELECT (t // 3600 + 1) * 3600 AS window_end, count(DISTINCT user_id) AS uv FROM {EV} "
     "WHERE event_type = 'view' GROUP BY 1"
@@ -338,6 +403,14 @@ def two_streams(spark, sf_dir, delay=60):
     )
 
 
+def arriving_kind(spark, sf_dir, kind, name):
+    """One kind of event under its own names; the heartbeat, which has no kind, stays."""
+    rows = arriving(spark, sf_dir).filter((F.col("event_type") == kind) | F.col("event_type").isNull())
+    return rows.select(
+        "user_id", F.col("event_id").alias(f"{name}_id"), F.col("ts").alias(f"{name}_ts")
+    ).withWatermark(f"{name}_ts", f"{DISORDER} seconds")
+
+
 JOINED = (
     "(SELECT * FROM events WHERE event_type = 'signup') p {how} JOIN (SELECT * FROM events WHERE "
     "event_type = 'purchase') r ON p.user_id = r.user_id AND epoch_us(r.ts) - epoch_us(p.ts) "
@@ -357,59 +430,84 @@ def join_interval_stream(spark, sf_dir):
     return drain.drain_append(pairs.select("user_id", "pay_id", "receipt_id"), "pairs")
 
 
-MATCHED_UNTIL = (
-    "(SELECT min(m) - 86400000000 FROM (SELECT max(epoch_us(ts)) AS m FROM events WHERE "
-    "event_type IN ('signup', 'purchase') GROUP BY event_type))"
-)
-
-
 @query(
     "match_two_streams_stream",
     "SELECT coalesce(p.user_id, r.user_id) AS user_id, coalesce(p.event_id, -1) AS pay_id, "
     "coalesce(r.event_id, -1) AS receipt_id, CASE WHEN r.event_id IS NULL THEN 'left_only' WHEN "
     "p.event_id IS NULL THEN 'right_only' ELSE 'matched' END AS status FROM "
-    + JOINED.format(how="FULL") + f" WHERE coalesce(epoch_us(p.ts), epoch_us(r.ts)) <= {MATCHED_UNTIL}",
+    + JOINED.format(how="FULL"),
 )
 def match_two_streams_stream(spark, sf_dir):
-    """Matches and both kinds of unmatched rows that are a day behind the streams' end."""
-    span = (-SIX_HOURS, SIX_HOURS)
-    pays, receipts = two_streams(spark, sf_dir)
-    left = windowed.interval_pairs(
-        pays, receipts, "user_id", "pay_ts", "receipt_ts", *span, "left_outer"
-    )
-    left_rows = drain.drain_append(
-        left.select("user_id", "pay_id", "receipt_id", F.unix_micros("pay_ts").alias("us")),
-        "left-matches",
-    ).withColumn("status", F.when(F.col("receipt_id").isNull(), "left_only").otherwise("matched"))
-    pays, receipts = two_streams(spark, sf_dir)
-    right = windowed.interval_pairs(
-        receipts, pays, "user_id", "receipt_ts", "pay_ts", *span, "left_outer"
+    """Matches and both kinds of unmatched rows, from one full outer join of two streams."""
+    found = windowed.full_outer_pairs(
+        *(arriving_kind(spark, sf_dir, kind, name)
+          for kind, name in (("signup", "pay"), ("purchase", "receipt"))),
+        "user_id", "pay_ts", "receipt_ts", -SIX_HOURS, SIX_HOURS,
     )
-    right_rows = drain.drain_append(
-        right.select("user_id", "pay_id", "receipt_id", F.unix_micros("receipt_ts").alias("us")),
-        "right-matches",
-    ).filter(F.col("pay_id").isNull()).withColumn("status", F.lit("right_only"))
-    ends = (
-        table(spark, sf_dir, "events").filter(F.col("event_type").isin("signup", "purchase"))
-        .groupBy("event_type").agg(F.max(F.unix_micros("ts")).alias("last"))
-        .agg(F.min("last") - DAY * 1_000_000)
+    pairs = drain.drain_append(found.select("user_id", "pay_id", "receipt_id"), "full-matches")
+    # The heartbeats are rows without an id.
+    pairs = pairs.filter("pay_id IS NOT NULL OR receipt_id IS NOT NULL")
+    missing = F.lit(-1).cast("bigint")
+    return pairs.select(
+        "user_id", F.coalesce("pay_id", missing).alias("pay_id"),
+        F.coalesce("receipt_id", missing).alias("receipt_id"),
+        F.when(F.col("receipt_id").isNull(), "left_only")
+        .when(F.col("pay_id").isNull(), "right_only").otherwise("matched").alias("status"),
     )
-    return left_rows.unionByName(right_rows).filter(F.col("us") <= ends.scalar()).select(
-        "user_id",
-        F.coalesce("pay_id", F.lit(-1)).cast("bigint").alias("pay_id"),
-        F.coalesce("receipt_id", F.lit(-1)).cast("bigint").alias("receipt_id"),
-        "status",
+
+
+@query(
+    "match_two_streams_once",
+    """
+WITH RECURSIVE numbered AS (
+  SELECT user_id, event_id AS id, event_type AS kind, epoch_us(ts) AS us,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n
+  FROM events WHERE event_type IN ('signup', 'purchase')),
+walk AS (
+  SELECT DISTINCT user_id, 0::BIGINT AS n, NULL::BIGINT AS id, NULL::VARCHAR AS kind,
+         NULL::BIGINT AS other, []::STRUCT(id BIGINT, us BIGINT, kind VARCHAR)[] AS waiting
+  FROM numbered
+  UNION ALL
+  SELECT user_id, n, id, kind, c[-1].id, CASE WHEN len(c) > 0
+         THEN list_filter(live, lambda x: x.id <> c[-1].id)
+         ELSE list_append(live, {'id': id, 'us': us, 'kind': kind}) END
+  FROM (SELECT *, list_filter(live, lambda x: x.kind <> s.kind) AS c
+        FROM (SELECT w.user_id, r.n, r.id, r.us, r.kind,
+                     list_filter(w.waiting, lambda x: x.us >= r.us - 21600000000) AS live
+              FROM walk w JOIN numbered r ON r.user_id = w.user_id AND r.n = w.n + 1) s)),
+pairs AS (SELECT user_id, CASE kind WHEN 'signup' THEN id ELSE other END AS pay_id,
+    CASE kind WHEN 'signup' THEN other ELSE id END AS receipt_id FROM walk WHERE other IS NOT NULL)
+SELECT user_id, pay_id, receipt_id, 'matched' AS status FROM pairs
+UNION ALL SELECT user_id, id, -1, 'left_only' FROM numbered
+  WHERE kind = 'signup' AND id NOT IN (SELECT pay_id FROM pairs)
+UNION ALL SELECT user_id, -1, id, 'right_only' FROM numbered
+  WHERE kind = 'purchase' AND id NOT IN (SELECT receipt_id FROM pairs)
+""",
+)
+def match_two_streams_once(spark, sf_dir):
+    """Greedy matching to the nearest earlier row of the other stream, each row used once."""
+    rule = ordered.MatchOnceRule("signup", "purchase", SIX_HOURS)
+    missing = F.lit(-1).cast("bigint")
+    return ruled(spark, sf_dir, "matched-once", rule).select(
+        "user_id", F.coalesce("left_id", missing).alias("pay_id"),
+        F.coalesce("right_id", missing).alias("receipt_id"), "status",
     )
 
 
 # -- keyed state and patterns --------------------------------------------------------
 
-LIMIT_US = "(SELECT max(epoch_us(ts)) - 60000000 FROM events)"
+# Rows arrive up to six hours out of order, in eight files and more; a heartbeat ends the
+# stream, so every rule gives its whole result.
+DISORDER = 6 * HOUR
+
+
+def arriving(spark, sf_dir):
+    return replayed(table(spark, sf_dir, "events"), "ts", DISORDER)
 
 
 def ruled(spark, sf_dir, label, rule, keys=("user_id",), mode="append"):
     stream = ordered.apply_rule(
-        events(spark, sf_dir), keys, "ts", rule, 60,
+        arriving(spark, sf_dir), keys, "ts", rule, DISORDER,
         row_id="event_id", kind="event_type", value="value", mode=mode,
     )
     return drain.drain_append(stream, label)
@@ -419,7 +517,7 @@ def ruled(spark, sf_dir, label, rule, keys=("user_id",), mode="append"):
     "state_change_alert_stream",
     "SELECT user_id, event_id, prev_value, value FROM (SELECT *, lag(value) OVER "
     "(PARTITION BY user_id ORDER BY ts, event_id) AS prev_value FROM events) "
-    f"WHERE abs(value - prev_value) > 10.0 AND epoch_us(ts) <= {LIMIT_US}",
+    f"WHERE abs(value - prev_value) > 10.0",
 )
 def state_change_alert_stream(spark, sf_dir):
     return ruled(spark, sf_dir, "changes", ordered.ChangeRule(10.0))
@@ -432,7 +530,7 @@ def state_change_alert_stream(spark, sf_dir):
     "r AS (SELECT *, sum(dropped) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS run FROM d), "
     "f AS (SELECT *, min(us) OVER (PARTITION BY user_id, run) AS first_us FROM r) "
     "SELECT user_id, first_us, min(us) AS alert_us FROM f WHERE us - first_us >= 86400000000 "
-    f"GROUP BY user_id, run, first_us HAVING min(us) <= {LIMIT_US}",
+    "GROUP BY user_id, run, first_us",
 )
 def state_rising_alert_stream(spark, sf_dir):
     return ruled(spark, sf_dir, "rising", ordered.RisingRule(DAY))
@@ -442,7 +540,7 @@ def state_rising_alert_stream(spark, sf_dir):
     "state_rate_limit_blacklist_stream",
     "SELECT event_id, user_id, event_type, nth, CASE WHEN nth <= 2 THEN 'pass' ELSE 'warn' END "
     "AS outcome FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type, t // 86400 "
-    f"ORDER BY ts, event_id) AS nth FROM {{EV}}) WHERE nth <= 3 AND epoch_us(ts) <= {LIMIT_US}",
+    "ORDER BY ts, event_id) AS nth FROM {EV}) WHERE nth <= 3",
 )
 def state_rate_limit_blacklist_stream(spark, sf_dir):
     return ruled(
@@ -455,8 +553,7 @@ def state_rate_limit_blacklist_stream(spark, sf_dir):
     "SELECT user_id, epoch_us(prev_ts) AS first_us, epoch_us(ts) AS last_us FROM (SELECT *, "
     "lag(ts) OVER w AS prev_ts, lag(event_type) OVER w AS prev_type FROM events "
     "WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) WHERE event_type = 'error' "
-    "AND prev_type = 'error' AND epoch_us(ts) - epoch_us(prev_ts) < 86400000000 "
-    f"AND epoch_us(ts) <= {LIMIT_US}",
+    "AND prev_type = 'error' AND epoch_us(ts) - epoch_us(prev_ts) < 86400000000",
 )
 def pat_strict_next_stream(spark, sf_dir):
     return ruled(spark, sf_dir, "strict", ordered.StrictNextRule("error", DAY))
@@ -469,27 +566,20 @@ def pat_strict_next_stream(spark, sf_dir):
     "THEN 'paid' ELSE 'timeout' END AS status FROM (SELECT *, min(CASE WHEN event_type = "
     "'purchase' THEN epoch_us(ts) END) OVER (PARTITION BY user_id ORDER BY ts, event_id "
     "ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS pay_us FROM events) "
-    f"WHERE event_type = 'signup' AND epoch_us(ts) <= {LIMIT_US} - 86400000000",
+    "WHERE event_type = 'signup'",
 )
 def pat_followed_by_stream(spark, sf_dir):
-    """Creates whose deadline has passed; verdicts that came earlier are left out."""
-    judged = ruled(
-        spark, sf_dir, "followed", ordered.FollowedByRule("signup", "purchase", DAY)
-    )
-    end = table(spark, sf_dir, "events").agg(
-        F.max(F.unix_micros("ts")) - (60 + DAY) * 1_000_000
-    )
-    return judged.filter(F.col("create_us") <= end.scalar())
+    return ruled(spark, sf_dir, "followed", ordered.FollowedByRule("signup", "purchase", DAY))
 
 
 @query(
     "pat_fail_burst_stream",
-    f"""
+    """
 WITH RECURSIVE logins AS (
   SELECT user_id, event_id, event_type, epoch_us(ts) AS us,
          sum(CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END)
            OVER (PARTITION BY user_id ORDER BY ts, event_id) AS seg
-  FROM events WHERE event_type IN ('error', 'signup') AND epoch_us(ts) <= {LIMIT_US}),
+  FROM events WHERE event_type IN ('error', 'signup')),
 fails AS (SELECT user_id, seg, us FROM logins WHERE event_type = 'error'),
 periods AS (
   SELECT user_id, seg, min(us) AS first_us FROM fails GROUP BY user_id, seg
@@ -501,8 +591,6 @@ periods AS (
 SELECT p.user_id, p.first_us, max(f.us) AS last_us, count(*) AS fails
 FROM periods p JOIN fails f ON f.user_id = p.user_id AND f.seg = p.seg
  AND f.us BETWEEN p.first_us AND p.first_us + 172800000000
-WHERE p.first_us + 172800000000 < {LIMIT_US}
-   OR EXISTS (SELECT 1 FROM logins l WHERE l.user_id = p.user_id AND l.seg > p.seg)
 GROUP BY p.user_id, p.seg, p.first_us HAVING count(*) >= 2
 """,
 )
@@ -516,24 +604,22 @@ def pat_fail_burst_stream(spark, sf_dir):
 @query(
     "pat_order_outcome_stream",
     "WITH f AS (SELECT user_id, min(CASE WHEN event_type = 'signup' THEN epoch_us(ts) END) AS c, "
-    "min(CASE WHEN event_type = 'purchase' THEN epoch_us(ts) END) AS p FROM events WHERE "
-    f"epoch_us(ts) <= {LIMIT_US} GROUP BY user_id) SELECT user_id, CASE WHEN c IS NULL THEN "
-    "'paid_without_create' WHEN p IS NULL THEN 'timeout' WHEN p - c < 86400000000 THEN 'paid' ELSE "
-    f"'paid_late' END AS outcome FROM f WHERE (c IS NOT NULL AND p IS NOT NULL) OR "
-    f"coalesce(c, p) + 86400000000 <= {LIMIT_US}",
+    "min(CASE WHEN event_type = 'purchase' THEN epoch_us(ts) END) AS p FROM events "
+    "GROUP BY user_id) SELECT user_id, CASE WHEN c IS NULL THEN 'paid_without_create' "
+    "WHEN p IS NULL THEN 'timeout' WHEN p - c < 86400000000 THEN 'paid' ELSE "
+    "'paid_late' END AS outcome FROM f WHERE c IS NOT NULL OR p IS NOT NULL",
 )
 def pat_order_outcome_stream(spark, sf_dir):
     stream = ordered.apply_rule(
-        events(spark, sf_dir), ("user_id",), "ts",
-        ordered.OrderOutcomeRule("signup", "purchase", DAY), 60,
+        arriving(spark, sf_dir), ("user_id",), "ts",
+        ordered.OrderOutcomeRule("signup", "purchase", DAY), DISORDER,
         row_id="event_id", kind="event_type", mode="update",
     )
     batches = drain.drain_batches(
-        stream, "outcomes", "update", "user_id bigint, outcome string",
-        # Within a batch the rows keep their order of emission.
-        lambda b: b.groupBy("user_id").agg(F.last("outcome").alias("outcome")),
+        stream, "outcomes", "update", "user_id bigint, outcome string, judged_us bigint",
     )
-    return drain.final_values(batches, ["user_id"])
+    last = F.max_by("outcome", "judged_us").alias("outcome")
+    return batches.groupBy("user_id").agg(last)
 
 
 # -- operation -----------------------------------------------------------------------

@@ -1,7 +1,7 @@
 """Keyed stream state in event-time order.
 
-Rows of a key are buffered until the watermark passes them and then handled in
-time order, so results do not depend on arrival order. Each rule below says what
+Rows of a key wait in slices of time until the watermark passes them and are then
+handled in time order, so results do not depend on arrival order. Each rule below says what
 one row does to the small state of its key and what time alone does to it.
 """
 
@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import sys
+from bisect import bisect_right
 from collections.abc import Iterator
 from itertools import islice
 
@@ -19,7 +20,8 @@ from pyspark.sql.streaming import StatefulProcessor
 
 MICROS = 1_000_000
 SLICE_ROWS = 10_000
-BUFFER_SCHEMA = "us bigint, row_id bigint, kind string, value double"
+SLICE_SECONDS = 3600
+KEEP_SECONDS = 90 * 86_400
 
 
 class Rule:
@@ -140,7 +142,8 @@ class FollowedByRule(Rule):
     def step(self, state, us, row_id, kind, value):
         waiting = state or []
         if kind == self.first:
-            return [*waiting, (row_id, us)], []
+            waiting.append((row_id, us))
+            return waiting, []
         if kind != self.then:
             return state, []
         return None, [
@@ -158,14 +161,22 @@ class FollowedByRule(Rule):
 
 
 class OrderOutcomeRule(Rule):
-    """Verdict per order; a later row may correct it, so the last one counts."""
+    """Verdict per order; a later row may correct it, so the one with the last time counts.
 
-    output = "outcome string"
+    An order is forgotten ``keep`` s after its deadline; a row that comes later still
+    begins a new order of that key.
+    """
 
-    def __init__(self, create: str, pay: str, within: int):
+    output = "outcome string, judged_us bigint"
+
+    def __init__(self, create: str, pay: str, within: int, keep: int = KEEP_SECONDS):
         self.create, self.pay, self.within = create, pay, within * MICROS
+        self.keep = keep * MICROS
 
     def step(self, state, us, row_id, kind, value):
+        state, out = self.until(state, us)
+        if kind not in (self.create, self.pay):
+            return state, out
         created, paid, said = state or (None, None, None)
         if kind == self.create and created is None:
             created = us
@@ -174,42 +185,100 @@ class OrderOutcomeRule(Rule):
         verdict = None
         if created is not None and paid is not None:
             verdict = "paid" if paid - created < self.within else "paid_late"
-        found = [(verdict,)] if verdict and verdict != said else []
-        return (created, paid, verdict or said), found
+        if verdict and verdict != said:
+            out = [*out, (verdict, us)]
+        return (created, paid, verdict or said), out
+
+    def _due(self, state) -> int:
+        return min(t for t in state[:2] if t is not None) + self.within
 
     def until(self, state, now):
-        if not state or (state[0] is not None and state[1] is not None):
+        if not state or now < self._due(state):
             return state, []
-        created, paid, said = state
-        since = created if created is not None else paid
-        if said is not None or now < since + self.within:
-            return state, []
-        verdict = "timeout" if created is not None else "paid_without_create"
-        return (created, paid, verdict), [(verdict,)]
+        (created, paid, said), due = state, self._due(state)
+        out = []
+        if said is None:
+            said = "timeout" if created is not None else "paid_without_create"
+            out = [(said, due)]
+        return None if now >= due + self.keep else (created, paid, said), out
 
     def deadline(self, state):
-        if not state or state[2] is not None:
+        if not state:
             return None
-        times = [t for t in state[:2] if t is not None]
-        return times[0] + self.within if len(times) == 1 else None
+        return self._due(state) + (self.keep if state[2] is not None else 0)
+
+
+class MatchOnceRule(Rule):
+    """Greedy one-to-one matching of two kinds of rows.
+
+    A row takes the nearest waiting row of the other kind, which is the latest, if it is
+    at most ``within`` s old; else it waits itself, for as long. Each row is used once.
+    """
+
+    output = "left_id bigint, right_id bigint, status string"
+
+    def __init__(self, left: str, right: str, within: int):
+        self.left, self.right, self.within = left, right, within * MICROS
+
+    def _alone(self, waiting):
+        return [
+            (i, None, "left_only") if kind == self.left else (None, i, "right_only")
+            for _, i, kind in waiting
+        ]
+
+    def step(self, state, us, row_id, kind, value):
+        if kind not in (self.left, self.right):
+            return state, []
+        state, out = self.until(state, us)
+        waiting = state or []
+        for at in range(len(waiting) - 1, -1, -1):
+            if waiting[at][2] != kind:
+                other = waiting.pop(at)[1]
+                pair = (row_id, other) if kind == self.left else (other, row_id)
+                return waiting or None, [*out, (*pair, "matched")]
+        waiting.append((us, row_id, kind))
+        return waiting, out
+
+    def until(self, state, now):
+        waiting = state or []
+        over = sum(now > t + self.within for t, _, _ in waiting)
+        return waiting[over:] or None, self._alone(waiting[:over])
+
+    def deadline(self, state):
+        return state[0][0] + self.within + 1 if state else None
 
 
 class OrderedProcessor(StatefulProcessor):
-    """Buffers rows, wakes at the watermark, applies the rule in time order."""
+    """Rows wait in slices of time; the watermark wakes a key, which reads what is due.
 
-    def __init__(self, rule: Rule, keys: tuple[str, ...]):
-        self.rule = rule
+    A slice is a number of pieces of a map state, each of at most ``SLICE_ROWS`` rows.
+    A timer reads the slices that have begun, one after the other, and applies the rule
+    to their rows in time order; later slices are not touched. Only the slice that the
+    watermark stands in is written again.
+    """
+
+    def __init__(self, rule: Rule, keys: tuple[str, ...], slice_seconds: int):
+        self.rule, self.width = rule, slice_seconds * MICROS
         self.columns = [*keys, *(field.split()[0] for field in rule.output.split(","))]
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.buffer = handle.getListState("buffer", BUFFER_SCHEMA)
-        # One value holds the rule's state and the time of the pending timer.
-        self.memory = handle.getValueState("memory", "state string, timer_ms bigint")
+        self.rows = handle.getMapState("rows", "slice bigint, piece int", "rows string")
+        # One value holds the rule's state, (pieces, first time) of every open slice and
+        # the time of the pending timer.
+        self.memory = handle.getValueState("memory", "state string, open string, timer_ms bigint")
 
     def _recall(self):
         kept = self.memory.get() if self.memory.exists() else None
-        return (json.loads(kept[0]), kept[1]) if kept else (None, None)
+        if not kept:
+            return None, {}, None
+        return json.loads(kept[0]), {int(k): v for k, v in json.loads(kept[1]).items()}, kept[2]
+
+    def _remember(self, state, slices, timer_ms) -> None:
+        if state is None and not slices and timer_ms is None:
+            self.memory.clear()  # nothing open: the key leaves no row behind
+        else:
+            self.memory.update((json.dumps(state), json.dumps(slices), timer_ms))
 
     def _wake(self, at_us, timer_ms):
         """Keep one timer per key, at the earliest time of interest."""
@@ -222,47 +291,62 @@ class OrderedProcessor(StatefulProcessor):
         return wanted
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        first_us, rows = None, iter(rows)
-        # In slices: a hot key may bring more rows than fit in memory.
+        rows, state, slices, timer_ms, first_us = iter(rows), None, None, None, None
+        # In pieces: a hot key may bring more rows than fit in memory.
         while piece := list(islice(rows, SLICE_ROWS)):
-            new = [(r["us"], r["row_id"], r["kind"], r["value"]) for r in piece]
-            self.buffer.appendList(new)
-            earliest = min(r[0] for r in new)
-            first_us = earliest if first_us is None else min(first_us, earliest)
+            if slices is None:
+                state, slices, timer_ms = self._recall()
+            found: dict[int, list] = {}
+            for r in piece:
+                found.setdefault(r["us"] // self.width, []).append(
+                    (r["us"], r["row_id"], r["kind"], r["value"])
+                )
+            for number, new in found.items():
+                first = min(r[0] for r in new)
+                pieces, before = slices.get(number, (0, first))
+                self.rows.updateValue((number, pieces), (json.dumps(new),))
+                slices[number] = (pieces + 1, min(first, before))
+                first_us = first if first_us is None else min(first_us, first)
         if first_us is not None:
-            state, timer_ms = self._recall()
             if timer_ms is None or -(-first_us // 1000) < timer_ms:
                 timer_ms = self._wake(first_us, timer_ms)
-                self.memory.update((json.dumps(state), timer_ms))
+            self._remember(state, slices, timer_ms)
         return iter(())
 
+    def _taken(self, number: int, pieces: int) -> list:
+        """The rows of a slice in order; they leave the state."""
+        found = []
+        for piece in range(pieces):
+            found += json.loads(self.rows.getValue((number, piece))[0])
+            self.rows.removeKey((number, piece))
+        found.sort(key=lambda r: r[:2])
+        return found
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         now = timerValues.getCurrentWatermarkInMs() * 1000
-        state, timer_ms = self._recall()
-        kept = self.buffer.get() if self.buffer.exists() else []
-        waiting = sorted((tuple(r) for r in kept), key=lambda r: r[:2])
-        due = [r for r in waiting if r[0] <= now]
-        later = waiting[len(due):]
-        found = []
-        for us, row_id, kind, value in due:
-            state, out = self.rule.step(state, us, row_id, kind, value)
-            found += out
+        state, slices, timer_ms = self._recall()
+        make = Row(*self.columns)
+        for number in sorted(slices):
+            if slices[number][1] > now:
+                break
+            waiting = self._taken(number, slices.pop(number)[0])
+            due = bisect_right(waiting, now, key=lambda r: r[0])
+            for us, row_id, kind, value in waiting[:due]:
+                state, out = self.rule.step(state, us, row_id, kind, value)
+                for found in out:
+                    yield make(*key, *found)
+            if later := waiting[due:]:
+                self.rows.updateValue((number, 0), (json.dumps(later),))
+                slices[number] = (1, later[0][0])
         state, out = self.rule.until(state, now)
-        found += out
-        if due:
-            self.buffer.put(later) if later else self.buffer.clear()
-        wishes = (later[0][0] if later else None, self.rule.deadline(state))
-        times = [t for t in wishes if t is not None]
+        for found in out:
+            yield make(*key, *found)
+        times = [t for t in (self.rule.deadline(state), *(f for _, f in slices.values())) if t is not None]
         # The timer that has just fired is gone already.
         fired = expiredTimerInfo.getExpiryTimeInMs()
         pending = None if timer_ms == fired else timer_ms
         timer_ms = self._wake(min(times) if times else None, pending)
-        if state is None and timer_ms is None:
-            self.memory.clear()  # nothing open: the key leaves no row behind
-        else:
-            self.memory.update((json.dumps(state), timer_ms))
-        make = Row(*self.columns)
-        return iter([make(*key, *out) for out in found])
+        self._remember(state, slices, timer_ms)
 
     def close(self) -> None:
         pass
@@ -278,6 +362,7 @@ def apply_rule(
     kind: str | None = None,
     value: str | None = None,
     mode: str = "append",
+    slice_seconds: int = SLICE_SECONDS,
 ) -> DataFrame:
     """Run ``rule`` per key over a stream that is at most ``delay`` s out of order."""
     # Send the rule with the query, so executors need no copy of this package.
@@ -291,7 +376,7 @@ def apply_rule(
     ).withWatermark(ts, f"{delay} seconds")
     key_schema = ", ".join(f"{k} {stream.schema[k].dataType.simpleString()}" for k in keys)
     return rows.groupBy(*keys).transformWithState(
-        statefulProcessor=OrderedProcessor(rule, keys),
+        statefulProcessor=OrderedProcessor(rule, keys, slice_seconds),
         outputStructType=f"{key_schema}, {rule.output}",
         outputMode=mode,
         timeMode="EventTime",

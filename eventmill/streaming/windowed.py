@@ -102,6 +102,31 @@ def interval_pairs(
     return bucketed.join(spread, condition, how).drop("_bucket", "_right_bucket", "_right_key")
 
 
+def full_outer_pairs(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    left_ts: str,
+    right_ts: str,
+    lower: int,
+    upper: int,
+) -> DataFrame:
+    """Interval join that also returns the unmatched rows of both sides, once each.
+
+    One state per side: a row is kept until the watermarks say that it can match no
+    more. Keyed by ``key`` alone, since a row spread over time buckets would be unmatched
+    in some of them; a hot key costs its own rows of the last ``upper - lower`` seconds.
+    """
+    other = right.withColumnRenamed(key, "_right_key")
+    condition = F.expr(
+        f"{key} = _right_key "
+        f"AND {right_ts} >= {left_ts} + INTERVAL '{lower}' SECOND "
+        f"AND {right_ts} <= {left_ts} + INTERVAL '{upper}' SECOND"
+    )
+    joined = left.join(other, condition, "full_outer")
+    return joined.withColumn(key, F.coalesce(key, "_right_key")).drop("_right_key")
+
+
 def running_totals(stream: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Totals per key over the whole stream; the output mode picks changed or all keys."""
     return stream.groupBy(*keys).agg(

@@ -10,7 +10,7 @@ from test_patterns_brute import SECOND, make_log, play
 from eventmill.operators import windows
 from eventmill.session import use_rocksdb_state, work_dir
 from eventmill.sources.readers import stream_source
-from eventmill.streaming import drain, ordered, recovery, windowed
+from eventmill.streaming import drain, firing, ordered, recovery, windowed
 
 SCHEMA = "id bigint, user bigint, t bigint, kind string, value double"
 DELAY = 30
@@ -87,10 +87,10 @@ def test_order_outcomes_are_corrected(spark):
         mode="update",
     )
     batches = drain.drain_batches(
-        stream, "outcomes-test", "update", "user bigint, outcome string",
-        lambda b: b.groupBy("user").agg(F.last("outcome").alias("outcome")),
+        stream, "outcomes-test", "update", "user bigint, outcome string, judged_us bigint",
     )
-    assert rows(drain.final_values(batches, ["user"])) == [
+    last = batches.groupBy("user").agg(F.max_by("outcome", "judged_us"))
+    assert rows(last) == [
         (1, "paid"), (2, "paid_late"), (3, "timeout"), (4, "paid_without_create")
     ]
     # Order 2 was a timeout first and was corrected by its late payment.
@@ -229,3 +229,137 @@ def test_timer_is_in_event_time():
     state, _ = rule.step(state, 5 * SECOND, 2, "fail", 0.0)
     assert rule.until(state, 10 * SECOND)[1] == []
     assert rule.until(state, rule.deadline(state))[1] == [(0, 5 * SECOND, 2)]
+
+
+class Handle:
+    """State of one key in memory, which records the slices that are read."""
+
+    def __init__(self):
+        self.read, self.maps, self.value, self.timers = [], {}, None, set()
+        self.registerTimer, self.deleteTimer = self.timers.add, self.timers.discard
+
+    def getMapState(self, *_):
+        handle = self
+
+        class Rows:
+            def updateValue(self, key, value):
+                handle.maps[key] = value
+
+            def getValue(self, key):
+                handle.read.append(key[0])
+                return handle.maps[key]
+
+            def removeKey(self, key):
+                del handle.maps[key]
+
+        return Rows()
+
+    def getValueState(self, *_):
+        handle = self
+
+        class Memory:
+            def exists(self):
+                return handle.value is not None
+
+            def get(self):
+                return handle.value
+
+            def update(self, value):
+                handle.value = value
+
+            def clear(self):
+                handle.value = None
+
+        return Memory()
+
+
+class Times:
+    def __init__(self, ms):
+        self.getCurrentWatermarkInMs = self.getExpiryTimeInMs = lambda: ms
+
+
+def test_only_due_slices_are_read(monkeypatch):
+    monkeypatch.setattr(ordered, "SLICE_ROWS", 3)
+    processor = ordered.OrderedProcessor(ordered.ChangeRule(0.5), ("user",), 10)
+    handle = Handle()
+    processor.init(handle)
+    times = [95, 3, 41, 17, 8, 62, 12, 5, 73, 44, 19, 1]
+    rows_in = [{"us": t * SECOND, "row_id": t, "kind": "v", "value": float(t)} for t in times]
+    processor.handleInputRows((1,), iter(rows_in), None)
+    assert sorted({k[0] for k in handle.maps}) == [0, 1, 4, 6, 7, 9] and handle.timers == {1000}
+
+    def wake(at):
+        handle.read.clear()
+        fired = min(handle.timers)
+        out = list(processor.handleExpiredTimer((1,), Times(at * 1000), Times(fired)))
+        handle.timers.discard(fired)
+        return [r.event_id for r in out]
+
+    assert wake(18) == [3, 5, 8, 12, 17]  # 1 is the first reading
+    assert set(handle.read) == {0, 1} and handle.timers == {19_000}
+    assert wake(43) == [19, 41]
+    assert set(handle.read) == {1, 4} and handle.timers == {44_000}
+    assert wake(200) == [44, 62, 73, 95]
+    assert not handle.maps and not handle.timers
+
+
+def test_orders_are_forgotten_after_their_time():
+    rule = ordered.OrderOutcomeRule("create", "pay", 100, keep=50)
+    state, out = rule.step(None, 0, 1, "create", 0.0)
+    assert rule.deadline(state) == 100 * SECOND and out == []
+    state, out = rule.until(state, 120 * SECOND)
+    assert out == [("timeout", 100 * SECOND)] and rule.deadline(state) == 150 * SECOND
+    corrected, out = rule.step(state, 130 * SECOND, 2, "pay", 0.0)
+    assert out == [("paid_late", 130 * SECOND)]
+    assert rule.until(corrected, 150 * SECOND) == (None, [])
+    # Later still the key begins anew.
+    state, out = rule.step(state, 160 * SECOND, 3, "pay", 0.0)
+    assert out == [] and state == (None, 160 * SECOND, None)
+
+
+def test_matching_uses_each_row_once():
+    rng = random.Random(4)
+    for _ in range(50):
+        log = sorted((rng.randrange(60) * SECOND, i, rng.choice("abx")) for i in range(30))
+        rule, state, got = ordered.MatchOnceRule("a", "b", 5), None, []
+        for us, i, kind in log:
+            state, out = rule.step(state, us, i, kind, 0.0)
+            got += out
+        got += rule.until(state, 10**12)[1]
+        free, want = [], []
+        for us, i, kind in log:
+            near = [x for x in free if x[2] != kind and us - x[0] <= 5 * SECOND]
+            if kind == "x":
+                continue
+            if near:
+                other = max(near)
+                free.remove(other)
+                want.append((i, other[1], "matched") if kind == "a" else (other[1], i, "matched"))
+            else:
+                free.append((us, i, kind))
+        want += [(i, None, "left_only") if k == "a" else (None, i, "right_only") for _, i, k in free]
+        assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def test_windows_fire_again_for_late_rows_until_they_expire(spark):
+    base = 10_000_000
+    parts = [[(1, 10), (2, 15), (3, 200)], [(4, 20), (5, 30), (6, 260)], [(7, 40), (8, 250)],
+             [(9, 2_000)]]
+    stream = feed(spark, [[(i, 1, base + t, "pv", 0.0) for i, t in p] for p in parts])
+    dropped = firing.DroppedRows()
+    spark.streams.addListener(dropped)
+    try:
+        found = drain.drain_append(
+            firing.firing_windows(stream, "ts", "id", 60, 10, 150, horizon=1_000_000), "firing")
+        got = rows(found.select(F.col("window_end") - base, "outcome", "firing", "cnt", "row_id"))
+    finally:
+        spark.streams.removeListener(dropped)
+    end = -(-(base + 10) // 60) * 60 - base  # windows begin at whole minutes
+    first = [r for r in got if r[0] == end and r[1] == "fired"]
+    assert [r[2] for r in sorted(first)] == list(range(1, len(first) + 1))
+    counted = sum(max(r[3] for r in got if r[0] == e and r[1] == "fired")
+                  for e in {r[0] for r in got if r[1] == "fired"})
+    late = [r for r in got if r[1] == "late"]
+    # The window of the last row is still open.
+    assert counted + len(late) == 8 and [r[4] for r in late] == [7]
+    assert sum(dropped.rows.values()) == 0
