@@ -6,9 +6,8 @@ run per (key, time chunk), see :mod:`eventmill.operators.chunks`.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -21,6 +20,7 @@ from eventmill.operators.chunks import (
     with_run_start,
 )
 from eventmill.operators.windows import epoch, floor_div
+from eventmill.session import work_dir
 
 DAY = 86400
 MICROS = 1_000_000
@@ -154,8 +154,8 @@ def fail_bursts(
     The first fail opens a period [first, first + within]; a success closes it;
     the first fail after a period opens the next. Runs of fails with no success
     and no gap above ``within`` are independent of each other. Nearly all of them
-    fit one period and are settled by the aggregate alone; only longer runs are
-    walked in time order, as (timestamp, count) rows with constant memory.
+    fit one period and are settled by the aggregate alone; the periods of longer runs
+    are chained by :func:`_periods`.
     """
     ts = order[0]
     logins = df.filter(F.col(kind).isin(fail, success))
@@ -178,52 +178,80 @@ def fail_bursts(
         .filter(F.col("fails") >= times)
     )
     fits = micros_between(F.col("last_ts"), F.col("first_ts")) <= within * MICROS
-    long_runs = per_run.filter(~fits).select("_run")
+    long_runs = per_run.filter(~fits).select("_run", F.unix_micros("first_ts").alias("begin"))
     steps = (
-        runs.join(long_runs, "_run", "left_semi")
-        .groupBy(key, "_run", ts)
+        runs.join(long_runs, "_run")
+        .groupBy("_run", "begin", F.unix_micros(ts).alias("at"))
         .agg(F.count(F.lit(1)).alias("fails"))
-        .withColumn("run_id", F.to_json("_run"))
-        .withColumn("at", F.unix_micros(ts))
-        .select(key, "run_id", "at", "fails")
-        .repartition("run_id")
-        .sortWithinPartitions("run_id", "at")
     )
-    key_type = df.schema[key].dataType.simpleString()
-    walked = steps.mapInArrow(
-        _period_walker(key, times, within * MICROS),
-        f"{key} {key_type}, first_us bigint, last_us bigint, fails bigint",
-    ).select(
-        key, F.timestamp_micros("first_us").alias("first_ts"),
-        F.timestamp_micros("last_us").alias("last_ts"), "fails",
+    chained = _periods(steps, within * MICROS).filter(F.col("fails") >= times).select(
+        F.col(f"_run.{key}").alias(key), F.timestamp_micros("first").alias("first_ts"),
+        F.timestamp_micros("last").alias("last_ts"), "fails",
     )
-    return per_run.filter(fits).select(key, "first_ts", "last_ts", "fails").unionByName(walked)
+    return per_run.filter(fits).select(key, "first_ts", "last_ts", "fails").unionByName(chained)
 
 
-def _period_walker(key: str, times: int, within_us: int):
-    """Walk sorted (key, run, timestamp, count) rows; state is one open period."""
+def _stored(df: DataFrame, label: str) -> DataFrame:
+    spark, path = df.sparkSession, work_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
-    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_run, who, first, last, total, kind = None, None, 0, 0, 0, None
 
-        def packed(found):
-            keys, *times_and_fails = zip(*found) if found else ((), (), (), ())
-            columns = [pa.array(keys, kind), *(pa.array(c, pa.int64()) for c in times_and_fails)]
-            return pa.RecordBatch.from_arrays(columns, [key, "first_us", "last_us", "fails"])
+def _periods(steps: DataFrame, within: int) -> DataFrame:
+    """Periods (_run, first, last, fails) of long runs, by pointer doubling.
 
-        for batch in batches:
-            kind, found = batch.schema.field(0).type, []
-            for name, run, at, fails in zip(*(c.to_pylist() for c in batch.columns)):
-                if open_run != run or at > first + within_us:
-                    if open_run is not None and total >= times:
-                        found.append((who, first, last, total))
-                    open_run, who, first, total = run, name, at, 0
-                last, total = at, total + fails
-            yield packed(found)
-        if open_run is not None and total >= times:
-            yield packed([(who, first, last, total)])
-
-    return walk
+    ``steps``: (_run, begin, at, fails) in microseconds, distinct in (_run, at), with no
+    gap above ``within``. The period after the one that begins at t begins with the
+    first row later than t + within, which is at most another ``within`` away: it is
+    found in the time slot of t + within or the next one. Which rows begin a period is
+    then spread from the run's beginning along pointers of 1, 2, 4, ... periods, so a run
+    of n periods takes log2 n rounds. Every step is keyed by run and time: no task holds
+    a run.
+    """
+    steps = _stored(steps, "burst-steps")
+    if steps.isEmpty():
+        return steps.select(
+            "_run", F.col("at").alias("first"), F.col("at").alias("last"), "fails"
+        )
+    slot = lambda c: floor_div(F.col(c), within)
+    heads = steps.groupBy("_run", (slot("at") - 1).alias("_slot")).agg(F.min("at").alias("_head"))
+    # Rows and the ends of their reach in one slot: after an end, the first row there.
+    ends = steps.select("_run", (F.col("at") + within).alias("_at"), F.col("at").alias("_from"))
+    both = steps.select("_run", F.col("at").alias("_at"), F.lit(None).cast("bigint").alias("_from"))
+    later = (
+        W.partitionBy("_run", "_slot").orderBy(F.desc("_at"), F.col("_from").asc_nulls_last())
+        .rowsBetween(W.unboundedPreceding, -1)
+    )
+    row_at = F.when(F.col("_from").isNull(), F.col("_at"))
+    pointers = _stored(
+        both.unionByName(ends).withColumn("_slot", slot("_at"))
+        .withColumn("_here", F.min(row_at).over(later))
+        .filter("_from IS NOT NULL")
+        .join(heads, ["_run", "_slot"], "left")
+        .select("_run", F.col("_from").alias("at"), F.coalesce("_here", "_head").alias("to"))
+        .filter("to IS NOT NULL"),
+        "burst-pointers",
+    )
+    begins = _stored(steps.select("_run", F.col("begin").alias("at")).distinct(), "burst-begins")
+    while True:
+        reached = _stored(begins.join(pointers, ["_run", "at"]).select("_run", F.col("to").alias("at")), "burst-reached")
+        if reached.isEmpty():
+            break
+        begins = begins.unionByName(reached)
+        onward = pointers.select("_run", F.col("at").alias("to"), F.col("to").alias("_to"))
+        pointers = _stored(
+            pointers.join(onward, ["_run", "to"]).select("_run", "at", F.col("_to").alias("to")),
+            "burst-pointers",
+        )
+    # A period lies in the slot of its beginning and the next; a slot holds one beginning.
+    spans = begins.withColumnRenamed("at", "first").withColumn(
+        "_slot", F.explode(F.array(slot("first"), slot("first") + 1))
+    )
+    return (
+        steps.withColumn("_slot", slot("at")).join(spans, ["_run", "_slot"])
+        .filter((F.col("at") >= F.col("first")) & (F.col("at") <= F.col("first") + within))
+        .groupBy("_run", "first").agg(F.max("at").alias("last"), F.sum("fails").alias("fails"))
+    )
 
 
 # -- order patterns ----------------------------------------------------------------

@@ -6,7 +6,10 @@ filters come first in both forms.
 """
 
 import math
+from functools import reduce
 
+from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from eventmill.functions.parse import parse_json_order
@@ -15,6 +18,7 @@ from eventmill.operators.windows import closed_windows, merge_panes, top_n_per_w
 from eventmill.plans.registry import query
 from eventmill.plans.windows import sliding_sql
 from eventmill.session import use_rocksdb_state, work_dir
+from eventmill.sinks.batches import KeyedTable, RollingReport, routes, start_outputs
 from eventmill.sinks.tables import messages
 from eventmill.sources.readers import message_values, stream_source
 from eventmill.sources.tables import table, table_stream, with_item
@@ -622,6 +626,125 @@ def pat_order_outcome_stream(spark, sf_dir):
     return batches.groupBy("user_id").agg(last)
 
 
+# -- sinks of micro-batches ------------------------------------------------------------
+
+
+def order_parts(spark, sf_dir, parts):
+    """The orders as a stream of ``parts`` batches, each the rest of a division of the key."""
+    use_rocksdb_state(spark)
+    path = work_dir(spark, "order-parts")
+    rows = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", F.col("o_totalprice").alias("amount"),
+        (F.col("o_custkey") % 34).alias("province_id"),
+    )
+    for i in range(parts):
+        rows.filter(F.col("o_orderkey") % parts == i).coalesce(1).write.mode("append").parquet(path)
+    return stream_source(spark, "parquet", path, rows.schema, maxFilesPerTrigger=1)
+
+
+@query(
+    "side_output_stream",
+    "SELECT o_orderkey, CASE WHEN amount >= 200000 THEN 'alert' ELSE 'main' END AS output, "
+    "CASE WHEN amount >= 200000 THEN concat('large order ', o_orderkey) END AS note "
+    "FROM (SELECT *, o_totalprice AS amount FROM orders)",
+)
+def side_output_stream(spark, sf_dir):
+    """Two sinks of one pass: rows of the main output, texts of the side output."""
+    large = F.col("amount") >= 200_000
+    outputs = {
+        "main": lambda b: b.filter(~large).select("o_orderkey"),
+        "alert": lambda b: b.filter(large).select(
+            "o_orderkey", F.concat(F.lit("large order "), "o_orderkey").alias("note")
+        ),
+    }
+    path = work_dir(spark, "side-output")
+    start_outputs(order_parts(spark, sf_dir, 3), outputs, path, path + "-checkpoint").awaitTermination()
+    main = spark.read.schema("o_orderkey bigint").parquet(f"{path}/main")
+    alerts = spark.read.schema("o_orderkey bigint, note string").parquet(f"{path}/alert")
+    return main.select(
+        "o_orderkey", F.lit("main").alias("output"), F.lit(None).cast("string").alias("note")
+    ).unionByName(alerts.select("o_orderkey", F.lit("alert").alias("output"), "note"))
+
+
+@query(
+    "route_by_type_stream",
+    "SELECT o_orderkey, CASE WHEN o_orderstatus IN ('F', 'O') THEN o_orderstatus ELSE 'other' END "
+    "AS route FROM orders",
+)
+def route_by_type_stream(spark, sf_dir):
+    """Each order in the folder of its type; unknown types have one of their own."""
+    path = work_dir(spark, "routes")
+    outputs = routes("o_orderstatus", ["F", "O"])
+    start_outputs(order_parts(spark, sf_dir, 3), outputs, path, path + "-checkpoint").awaitTermination()
+    found = [
+        spark.read.schema("o_orderkey bigint").parquet(f"{path}/{name}")
+        .select("o_orderkey", F.lit(name).alias("route"))
+        for name in outputs
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
+@query(
+    "snk_upsert_stream",
+    "SELECT o_custkey, arg_max(o_orderkey, (o_totalprice, o_orderkey)) AS o_orderkey, "
+    "max(o_totalprice) AS amount FROM orders GROUP BY 1",
+)
+def snk_upsert_stream(spark, sf_dir):
+    """The largest order of every customer, kept by batches of orders."""
+    path = work_dir(spark, "keyed")
+    kept = KeyedTable(
+        spark, path, "o_custkey bigint, o_orderkey bigint, amount double", ["o_custkey"],
+        ["amount", "o_orderkey"], 16,
+    )
+    kept.start(order_parts(spark, sf_dir, 4), path + "-checkpoint").awaitTermination()
+    return kept.read()
+
+
+@query(
+    "snk_kv_latest_stream",
+    "SELECT user_id, event_type, epoch_us(max(ts)) AS us, arg_max(event_id, (ts, event_id)) AS event_id, "
+    "arg_max(value, (ts, event_id)) AS value FROM events GROUP BY 1, 2",
+)
+def snk_kv_latest_stream(spark, sf_dir):
+    """The last value per user and event type, though rows arrive out of order."""
+    path = work_dir(spark, "latest")
+    schema = "user_id bigint, event_type string, ts timestamp, event_id bigint, value double"
+    kept = KeyedTable(spark, path, schema, ["user_id", "event_type"], ["ts", "event_id"], 16)
+    stream = arriving(spark, sf_dir).filter("event_id IS NOT NULL")
+    kept.start(stream, path + "-checkpoint").awaitTermination()
+    return kept.read().select("user_id", "event_type", F.unix_micros("ts").alias("us"), "event_id", "value")
+
+
+REPORT_PARTS = 5
+
+
+@query(
+    "win_processing_report_stream",
+    f"""
+WITH parts AS (SELECT o_orderkey % {REPORT_PARTS} AS part, o_custkey % 34 AS province_id,
+    CAST(o_totalprice AS DECIMAL(18,2)) AS amount FROM orders),
+sums AS (SELECT b AS batch_id, province_id, sum(amount) AS total, count(*) AS cnt
+  FROM parts JOIN range({REPORT_PARTS}) r(b) ON part BETWEEN b - 2 AND b GROUP BY 1, 2),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY batch_id ORDER BY total DESC, province_id)
+  AS rank_no FROM sums)
+SELECT batch_id, province_id, CAST(total AS DOUBLE) AS total, cnt, rank_no FROM ranked
+WHERE rank_no <= 10
+""",
+)
+def win_processing_report_stream(spark, sf_dir):
+    """After every batch the ten provinces of largest sums over the last three batches."""
+    path = work_dir(spark, "report")
+    report = RollingReport(spark, path, "province_id", "amount")
+    stream = order_parts(spark, sf_dir, REPORT_PARTS)
+    report.start(stream, path + "-checkpoint").awaitTermination()
+    order = W.partitionBy("batch_id").orderBy(F.desc("total"), "province_id")
+    return report.reports().select(
+        F.col("batch_id").cast("bigint").alias("batch_id"), "province_id",
+        F.col("total").cast("double").alias("total"), "cnt",
+        F.row_number().over(order).cast("bigint").alias("rank_no"),
+    )
+
+
 # -- operation -----------------------------------------------------------------------
 
 

@@ -202,3 +202,34 @@ def test_range_lookup_equals_scan(spark, monkeypatch, limit):
     ).select("id", F.coalesce("band", F.lit(-1)).alias("band"))
     want = [(i, next((b for lo, hi, b in bands if lo <= p <= hi), -1)) for i, p in points]
     assert rows(got) == want
+
+
+def test_chained_periods_equal_a_walk(spark):
+    """Long irregular runs over many slots, several keys (one null), equal times and exact borders."""
+    rng = random.Random(8)
+    log, n = [], 0
+    for user in (0, 1, None):
+        t = 0
+        for _ in range(400):
+            t += rng.choice([0, 1, 1, 2, 3, 9, 10, 11, 25])
+            log.append((n, user, t, "fail" if rng.random() < 0.98 else "success", 0.0))
+            n += 1
+    bursts = pat.fail_bursts(frame(spark, log), "user", ["ts", "id"], "kind", "fail", "success", 2, 10, 50, 100)
+    want = []
+    for user in (0, 1, None):
+        state = None
+        closed = lambda s: [(user, *s)] if s and s[2] >= 2 else []  # noqa: E731,B023
+        for _, who, t, kind, _ in log:
+            if who != user:
+                continue
+            if kind == "success":
+                want, state = want + closed(state), None
+            elif state and t <= state[0] + 10:
+                state = (state[0], t, state[2] + 1)
+            else:
+                want, state = want + closed(state), (t, t, 1)
+        want += closed(state)
+    got = bursts.select("user", F.unix_timestamp("first_ts"), F.unix_timestamp("last_ts"), "fails")
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want))
+    plan = bursts._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
