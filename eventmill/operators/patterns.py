@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -208,11 +208,13 @@ def _periods(steps: DataFrame, within: int) -> DataFrame:
     of n periods takes log2 n rounds. Every step is keyed by run and time: no task holds
     a run.
     """
-    steps = _stored(steps, "burst-steps")
-    if steps.isEmpty():
-        return steps.select(
-            "_run", F.col("at").alias("first"), F.col("at").alias("last"), "fails"
-        )
+    seen = Observation()
+    steps = _stored(
+        steps.observe(seen, F.max(F.col("at") - F.col("begin")).alias("longest")), "burst-steps"
+    )
+    longest = seen.get["longest"]
+    if longest is None:
+        return steps.select("_run", F.col("at").alias("first"), F.col("at").alias("last"), "fails")
     slot = lambda c: floor_div(F.col(c), within)
     heads = steps.groupBy("_run", (slot("at") - 1).alias("_slot")).agg(F.min("at").alias("_head"))
     # Rows and the ends of their reach in one slot: after an end, the first row there.
@@ -223,26 +225,28 @@ def _periods(steps: DataFrame, within: int) -> DataFrame:
         .rowsBetween(W.unboundedPreceding, -1)
     )
     row_at = F.when(F.col("_from").isNull(), F.col("_at"))
-    pointers = _stored(
+    to = (
         both.unionByName(ends).withColumn("_slot", slot("_at"))
         .withColumn("_here", F.min(row_at).over(later))
         .filter("_from IS NOT NULL")
         .join(heads, ["_run", "_slot"], "left")
         .select("_run", F.col("_from").alias("at"), F.coalesce("_here", "_head").alias("to"))
-        .filter("to IS NOT NULL"),
-        "burst-pointers",
     )
-    begins = _stored(steps.select("_run", F.col("begin").alias("at")).distinct(), "burst-begins")
-    while True:
-        reached = _stored(begins.join(pointers, ["_run", "at"]).select("_run", F.col("to").alias("at")), "burst-reached")
-        if reached.isEmpty():
-            break
-        begins = begins.unionByName(reached)
-        onward = pointers.select("_run", F.col("at").alias("to"), F.col("to").alias("_to"))
-        pointers = _stored(
-            pointers.join(onward, ["_run", "to"]).select("_run", "at", F.col("_to").alias("to")),
-            "burst-pointers",
+    rows = to.join(steps.select("_run", "at", (F.col("at") == F.col("begin")).alias("opens")), ["_run", "at"])
+    # Periods begin more than ``within`` apart: a run has at most longest // within + 1.
+    for _ in range((longest // within).bit_length()):
+        rows = _stored(rows, "burst-pointers")
+        onward = rows.select("_run", F.col("at").alias("to"), F.col("to").alias("_to"))
+        doubled = rows.join(onward, ["_run", "to"], "left").select(
+            "_run", "at", F.col("_to").alias("to"), "opens"
+        )
+        opened = rows.filter("opens AND to IS NOT NULL").select(
+            "_run", F.col("to").alias("at"), F.lit(None).cast("bigint").alias("to"), "opens"
+        )
+        rows = doubled.unionByName(opened).groupBy("_run", "at").agg(
+            F.max("to").alias("to"), F.max("opens").alias("opens")
         )
+    begins = rows.filter("opens").select("_run", "at")
     # A period lies in the slot of its beginning and the next; a slot holds one beginning.
     spans = begins.withColumnRenamed("at", "first").withColumn(
         "_slot", F.explode(F.array(slot("first"), slot("first") + 1))
