@@ -194,6 +194,19 @@ def cut_points(ids: np.ndarray, ends_sentence: np.ndarray, step: int) -> tuple[n
     return at[order], kind[order]
 
 
+def exact_windows(positions: np.ndarray, limit: int) -> dict[int, list[int]]:
+    """For a cut, the earlier ones a power of two below ``limit`` away, the furthest first."""
+    index = np.full(positions[-1] - positions[0] + 1, -1)
+    index[positions - positions[0]] = np.arange(len(positions))
+    found: dict[int, list[int]] = {}
+    for k in range((limit - 1).bit_length() - 1, -1, -1):
+        first = np.searchsorted(positions, positions[0] + (1 << k))
+        before = index[positions[first:] - positions[0] - (1 << k)]
+        for j in np.flatnonzero(before >= 0).tolist():
+            found.setdefault(first + j, []).append(int(before[j]))
+    return found
+
+
 def best_cuts(positions: list[int], penalties: list[float], limit: int) -> list[int]:
     """Cuts (as indexes of ``positions``, the first and last included) of least cost.
 
@@ -202,22 +215,19 @@ def best_cuts(positions: list[int], penalties: list[float], limit: int) -> list[
     """
     n = len(positions)
     cost, back = [0.0] * n, [0] * n
-    at = {positions[0]: 0}
+    full = exact_windows(np.asarray(positions), limit)
     queue: deque[tuple[float, int]] = deque([(positions[0] + 0.0, 0)])
-    powers = [1 << k for k in range(limit.bit_length() - 1) if 1 << k < limit][::-1]
     for j in range(1, n):
         p = positions[j]
         while positions[queue[0][1]] < p - limit:
             queue.popleft()
         low, i = queue[0]
         best = low + limit - p
-        for length in powers:
-            k = at.get(p - length)
-            if k is not None and cost[k] < best:
+        for k in full.get(j, ()):
+            if cost[k] < best:
                 best, i = cost[k], k
         best += penalties[j]
         cost[j], back[j] = best, i
-        at[p] = j
         key = best + p
         while queue and queue[-1][0] > key:
             queue.pop()
