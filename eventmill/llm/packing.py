@@ -46,7 +46,7 @@ STEP = 128
 STRETCH = 1 << 18
 CACHE_BYTES = 24 << 20  # of each of two generations of known words
 WORD_COST = 200  # bytes of a cache entry beside its word and ranks
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 4 << 20
 # Fixed: the split of the word tokenizer, after lower-casing.
 PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
@@ -72,15 +72,17 @@ class WordIds:
 
     def __init__(self, path: str):
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.path, self._tokenizer = path, None
         with open(path, encoding="utf-8") as f:
-            model = json.load(f)["model"]
+            whole = json.load(f)
+        model = whole["model"]
         if model.get("end_of_word_suffix") != "</w>":
             raise ValueError("the tokenizer must mark the end of words by </w>")
         vocabulary = model["vocab"]
-        self.ends_sentence = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        added = [t["id"] for t in whole.get("added_tokens", [])]
+        size = max([*vocabulary.values(), *added]) + 1
+        self.ends_sentence = np.zeros(size, bool)
         for piece, i in vocabulary.items():
             self.ends_sentence[i] = bool(re.search(r"[.!?]</w>$", piece))
         # Byte-level vocabularies write bytes without a glyph as characters from 256 on.
@@ -104,7 +106,7 @@ class WordIds:
                 rank(glyphs[b] + suffix)
         for merge in model["merges"]:
             rank("".join(merge if isinstance(merge, list) else merge.split(" ")))
-        ids += sorted(set(range(self.tokenizer.get_vocab_size())) - set(ids))
+        ids += sorted(set(range(size)) - set(ids))
         self.ids = np.asarray(ids, "<u4")
         self.rank_of = np.argsort(self.ids).astype("<u4")
         self.merges = tiktoken.Encoding(
@@ -115,6 +117,15 @@ class WordIds:
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
+    @property
+    def tokenizer(self):
+        """The whole tokenizer; few words need it, so it is loaded with the first."""
+        if self._tokenizer is None:
+            from tokenizers import Tokenizer
+
+            self._tokenizer = Tokenizer.from_file(self.path)
+        return self._tokenizer
+
     def _ranks(self, word: str) -> bytes:
         """Ranks of a word's pieces, as bytes."""
         lower = word.lower()
