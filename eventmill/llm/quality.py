@@ -8,8 +8,9 @@ that the target has not seen, less a margin, so it is the same for the same tabl
 Before it come base rules on length and repetition.
 
 Only column expressions: texts are split and counted in the JVM. The weights are one
-number per bucket, whatever the data. Repeated windows are found per document, after
-one shuffle of the texts by row, so no group is larger than a document.
+number per bucket, whatever the data. Repeated windows are found inside the row by sorting
+its window hashes. All figures of a row are taken in one branch, so nothing is joined by a
+row number, and no text is shuffled.
 
 Nulls: a null or blank text has no words and fails the base. Rows that repeat are
 judged each. Without trusted labels the ratio is 0 and the base alone decides. Labels
@@ -23,7 +24,6 @@ import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from eventmill.llm.common import SPACE_CLASS, documents, labels, stored, words
 from eventmill.session import broadcast_if_small
@@ -36,7 +36,7 @@ LEAST_WORDS = 50
 
 
 def numbered(df: DataFrame) -> DataFrame:
-    """Rows with a key of their own: the same for every scan of the same files."""
+    """Rows with a key of their own, good within one branch of a plan: never join on it."""
     return df.select("doc_id", "text").withColumn("_row", F.monotonically_increasing_id())
 
 
@@ -129,28 +129,31 @@ def fit_threshold(
     return (0.0 if low is None else low) - margin
 
 
-def repeated_words(docs: DataFrame) -> DataFrame:
-    """Per ``_row``: words that stand in a 3-word window found twice or more in the text."""
-    window = F.when(F.col("c").isNotNull(), F.xxhash64("a", "b", "c"))
-    w = F.col("_words")
+def with_repeat_words(docs: DataFrame) -> DataFrame:
+    """Add ``n_repeat_words``: words in a 3-word window found twice or more in the text.
+
+    Equal windows stand side by side once a row's (hash, place) pairs are sorted. Texts
+    without a repeated window are not sorted.
+    """
+    w, spots, repeated = F.col("_words"), F.col("_spots"), F.col("_repeated")
     whole = F.greatest(F.size(w) - 2, F.lit(0))
     windows = F.arrays_zip(*(F.slice(w, i + 1, whole).alias(f"w{i}") for i in range(3)))
     hashes = F.transform(windows, lambda x: F.xxhash64(x["w0"], x["w1"], x["w2"]))
-    # Texts without a repeated window end here and are not shuffled.
-    some = (
-        docs.select("_row", "text").withColumn("_words", words(F.col("text")))
-        .withColumn("_hashes", hashes)
-        .filter(F.size("_hashes") > F.size(F.array_distinct("_hashes"))).select("_row", "text")
-    )
-    found = (
-        with_windows(some.repartition("_row"))
-        .select("_row", "pos", window.alias("_window")).filter("_window IS NOT NULL")
-    )
-    same = Window.partitionBy("_row", "_window")
+    placed = F.transform(F.col("_hashes"), lambda x, i: F.struct(x.alias("h"), i.alias("at")))
+    same = lambda x, i: F.coalesce(F.get(spots, i)["h"] == x["h"], F.lit(False))
+    covered = F.flatten(F.transform(repeated, lambda x: F.sequence(x["at"], x["at"] + 2)))
     return (
-        found.withColumn("_n", F.count("*").over(same)).filter("_n > 1")
-        .select("_row", F.explode(F.sequence(F.col("pos"), F.col("pos") + 2)).alias("pos"))
-        .distinct().groupBy("_row").agg(F.count("*").alias("n_repeat_words"))
+        docs.withColumn("_words", words(F.col("text")))
+        .withColumn("_hashes", hashes)
+        .withColumn("_spots", F.when(
+            F.size("_hashes") > F.size(F.array_distinct("_hashes")), F.array_sort(placed)
+        ))
+        .withColumn("_repeated", F.filter(spots, lambda x, i: same(x, i - 1) | same(x, i + 1)))
+        .withColumn(
+            "n_repeat_words",
+            F.when(spots.isNull(), F.lit(0)).otherwise(F.size(F.array_distinct(covered))).cast("long"),
+        )
+        .drop("_words", "_hashes", "_spots", "_repeated")
     )
 
 
@@ -171,29 +174,25 @@ def quality_verdicts(
     text = F.coalesce(F.col("text"), F.lit(""))
     has_word = lambda x: x.rlike("[^" + SPACE_CLASS[1:])
     lines = F.filter(F.split(text, "\n"), has_word)
-    rows = numbered(docs)
-    figures = rows.withColumn("_lines", lines).select(
-        "_row", "doc_id", "text",
+    figures = with_repeat_words(numbered(docs)).withColumn("_lines", lines).select(
+        "_row", "doc_id", "text", "n_repeat_words",
         F.regexp_count(text, F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
     )
     scored = (
         with_windows(figures)
-        .groupBy("_row", "doc_id", "n_symbols", "n_dup_lines")
+        .groupBy("_row", "doc_id", "n_symbols", "n_dup_lines", "n_repeat_words")
         .agg(
             F.count("a").alias("n_words"),
             F.coalesce(F.sum(F.length("a")), F.lit(0)).cast("long").alias("word_chars"),
             mean_ratio(weights).alias("log_ratio"),
         )
     )
-    repeat = F.coalesce("n_repeat_words", F.lit(0)).cast("long")
     failed = (F.col("n_words") < LEAST_WORDS) | (
         100 * F.col("n_repeat_words") > 50 * F.col("n_words")
     )
     return (
-        scored.join(repeated_words(rows), "_row", "left")
-        .withColumn("n_repeat_words", repeat)
-        .withColumn("base_failed", failed)
+        scored.withColumn("base_failed", failed)
         .withColumn("kept", ~F.col("base_failed") & (F.col("log_ratio") >= threshold))
         .select(
             "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",

@@ -2,12 +2,14 @@
 
 import collections
 import hashlib
+import math
 import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from eventmill.llm import (
@@ -122,16 +124,60 @@ def test_base_figures_and_verdicts(spark, docs, nothing):
     assert quality.quality_verdicts(nothing, marks).count() == 0
 
 
-def test_ratio_weights_are_those_of_the_two_multinomials(spark):
-    docs = spark.createDataFrame([(1, "a b a"), (2, "c c"), (3, "a c")], "doc_id long, text string")
-    trusted = spark.createDataFrame([(1, 0)], "doc_id long, fold int")
-    weights = quality.fit_weights(docs, trusted, buckets=64, smoothing=0.2)
-    total = sum(3 * [1.0])
-    assert len(weights) == 64 and max(weights) > 0 > min(weights) and total == 3.0
-    score = quality.with_windows(quality.numbered(docs)).groupBy("doc_id").agg(
-        quality.mean_ratio(weights).alias("r"))
-    r = {x.doc_id: x.r for x in score.collect()}
-    assert r[1] > r[3] > r[2]
+def hashed(*parts):
+    """Spark's xxhash64 of some columns: each seeds the next."""
+    seed = 42
+    for part in parts:
+        raw = part.encode() if isinstance(part, str) else part.to_bytes(8, "little", signed=True)
+        seed = xxhash.xxh64_intdigest(raw, seed=seed)
+    return seed
+
+
+def gram_buckets(text, buckets):
+    w = words(text)
+    return [hashed(x) % buckets for x in w] + [hashed(*x) % buckets for x in zip(w, w[1:])]
+
+
+def brute_verdicts(rows, good, buckets, smoothing, quantile, margin):
+    """(doc_id, text) rows -> {doc_id: (ratio, kept)} straight from the definition."""
+    fold = {i: hashed("fold", i) % 2 for i in good}
+    corpus, target = collections.Counter(), collections.Counter()
+    for i, text in rows:
+        corpus.update(gram_buckets(text, buckets))
+        if fold.get(i) == 0:
+            target.update(gram_buckets(text, buckets))
+    c = [1.0 + corpus[k] for k in range(buckets)]
+    held, all_c, all_t = smoothing * sum(target.values()), sum(c), sum(target.values())
+    log = [math.log((target[k] + held * c[k] / all_c) / (all_t + held) / (c[k] / all_c)) for k in range(buckets)]
+    ratio = {}
+    for i, text in rows:
+        grams = gram_buckets(text, buckets)
+        ratio[i] = sum(log[g] for g in grams) / len(grams) if grams else 0.0
+    unseen = sorted(ratio[i] for i, text in rows if fold.get(i) == 1 and len(words(text)) >= 50)
+    low = unseen[max(0, math.ceil(quantile * len(unseen)) - 1)] - margin
+    return {i: (ratio[i], not base_figures(text)[-1] and ratio[i] >= low) for i, text in rows}
+
+
+def test_ratio_threshold_and_verdict_equal_brute_force(spark):
+    rng = np.random.default_rng(8)
+    fair, poor = [f"fair{i}" for i in range(400)], [f"poor{i}" for i in range(400)]
+    rows = [
+        (i, " ".join([*rng.choice(fair, n * share // 10), *rng.choice(poor, n - n * share // 10)]))
+        for i, (n, share) in enumerate((int(rng.integers(0, 120)), int(rng.integers(0, 11))) for _ in range(300))
+    ]
+    good = [i for i, text in rows if text.count("fair") > 40 and text.count("poor") < 30][:60]
+    settings = {"buckets": 256, "smoothing": 0.2, "quantile": 0.2, "margin": 0.01}
+    want = brute_verdicts(rows, good, *settings.values())
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame([(i, 1) for i in good], "doc_id long, quality int")
+    # A shuffled input gives no row the same number twice.
+    got = quality.quality_verdicts(docs.repartition(5), marks, **settings).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert math.isclose(r.log_ratio, want[r.doc_id][0], abs_tol=1e-7)
+        assert r.kept == want[r.doc_id][1]
+    kept = [r.kept for r in got if not r.base_failed]
+    assert any(kept) and not all(kept)
 
 
 def test_every_trusted_document_counts(spark):
