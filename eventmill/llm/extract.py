@@ -6,7 +6,7 @@ Blocks labelled as main text are joined in page order.
 
 Fit: pages carry no labels, so the network learns from made pages with known labels.
 Their paragraphs and their menu, advert and footer texts come from a stable sample of
-``sample`` real pages (documented bound), set into random layouts: semantic tags or
+``sample`` whole real pages of ``chars`` in all (documented bounds), set into random layouts: semantic tags or
 plain divisions, usual, odd or missing class names, notices, forms, side columns and
 reader comments around and inside the article. The sampled pages take part as well,
 labelled by their semantic tags where they have an article.
@@ -24,12 +24,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmill.llm.blocks import WIDTH, leaf_blocks, vectors
+from eventmill.llm.blocks import ARTICLE, BOILER, WIDTH, leaf_blocks, vectors
 from eventmill.llm.common import pages
 from eventmill.llm.labeller import BlockLabeller
 
 SAMPLE = 160
-SAMPLE_CHARS = 100_000  # longer pages are not learned from
+SAMPLE_CHARS = 8_000_000  # of all sampled pages together
+STRETCH = 120  # blocks of a page learned at a time
 MADE = 520
 CUT = 0.5
 
@@ -171,20 +172,10 @@ class Maker:
         return blocks, labels
 
 
-BOILER = frozenset("nav header footer aside form noscript button select dialog menu".split())
-BOILER_WORDS = frozenset(
-    ".ad .ads .advert .sidebar .comment .comments .footer .header .menu .nav .cookie .notice "
-    ".related .share .promo .banner .widget".split()
-)
-
-
 def semantic_labels(blocks: list) -> list[int] | None:
     """Labels of a page whose tags say what is the article; None if they do not."""
-    out = []
-    for block in blocks:
-        names = [n for e in block.path for n in e]
-        inside = "article" in names or "main" in names
-        out.append(int(inside and not (BOILER & set(names)) and not (BOILER_WORDS & set(names))))
+    marks = [block.path.marks if block.path else frozenset() for block in blocks]
+    out = [int(bool(m & ARTICLE) and not m & BOILER) for m in marks]
     return out if any(out) and not all(out) else None
 
 
@@ -206,21 +197,32 @@ def train(sample: list[str], made: int = MADE, seed: int = 5) -> BlockLabeller:
         if blocks:
             sequences.append(vectors(blocks))
             targets.append(np.asarray(labels, np.float32))
-    # Long pages teach little more than their first stretch and slow every batch they are in.
-    sequences = [s[:120] for s in sequences]
-    targets = [t[:120] for t in targets]
+    # A long page is learned stretch by stretch, whole, so that batches stay even.
+    cuts = [(s, t, at) for s, t in zip(sequences, targets, strict=True) for at in range(0, len(s), STRETCH)]
+    sequences = [s[at : at + STRETCH] for s, _, at in cuts]
+    targets = [t[at : at + STRETCH] for _, t, at in cuts]
     return BlockLabeller(WIDTH).fit(sequences, targets)
 
 
-def fit_labeller(df: DataFrame, id_col: str, html_col: str, sample: int = SAMPLE) -> BlockLabeller:
-    usable = df.filter(F.length(html_col).between(1, SAMPLE_CHARS))
+def fit_labeller(
+    df: DataFrame, id_col: str, html_col: str, sample: int = SAMPLE, chars: int = SAMPLE_CHARS
+) -> BlockLabeller:
+    """Learn from at most ``sample`` whole pages, in order of a hash, of ``chars`` in all.
+
+    A page that no longer fits is passed over, whatever its length, and the next one tried.
+    """
+    usable = df.filter(F.length(html_col) > 0)
     total = usable.count()
     drawn = F.pmod(F.xxhash64(F.lit("extract"), F.col(id_col)), F.lit(1_000_000)) / 1e6
-    rows = (
-        usable.filter(drawn < min(1.0, 2.0 * sample / max(1, total)))
-        .select(F.xxhash64(id_col, html_col).alias("_h"), F.col(html_col).alias("_page"))
-        .orderBy("_h").limit(sample).collect()
+    near = usable.filter(drawn < min(1.0, 2.0 * sample / max(1, total))).select(
+        F.xxhash64(id_col, html_col).alias("_h"), F.col(html_col).alias("_page")
     )
+    chosen, left = [], chars
+    for r in near.select("_h", F.length("_page").alias("n")).distinct().orderBy("_h").limit(2 * sample).collect():
+        if r["n"] <= left and len(chosen) < sample:
+            chosen.append(r["_h"])
+            left -= r["n"]
+    rows = near.filter(F.col("_h").isin(chosen)).dropDuplicates(["_h"]).orderBy("_h").collect() if chosen else []
     return train([r["_page"] for r in rows])
 
 

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import math
 import re
+import time
 import zlib
 
 import numpy as np
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from eventmill.llm import (
     blocks, extract, langid, mixing, neardup, packing, quality, rendezvous, syncmers, toxicity, warc,
 )
+from eventmill.llm.labeller import BlockLabeller
 
 LONG = " ".join(f"word{i % 700} and{i % 31}." for i in range(9_000))
 TEXTS = [
@@ -272,6 +274,90 @@ def test_made_pages_are_labelled_well(labeller, spark, sf_dir):
     assert right / total > 0.93
 
 
+@pytest.mark.parametrize("page, want", [
+    ('<p class="x>lost</p>', ["lost"]),
+    ("<p><a title=it's>hi</a></p>", ["hi"]),
+    ("<p title='it's'>q</p>", ["q"]),
+    ('<p title="a>b" x=\'c>d\'>text</p>', ["text"]),
+    ('<script a="x>y">var a="<p>"</script >after', ["after"]),
+    ("<title-bar>shown</title-bar>", ["shown"]),
+    ("a < b <!bogus", ["a < b"]),
+    ('<p>one</p foo="x>y">two', ["one", "two"]),
+    ("<p>x<br/>y</p>end<p", ["x y", "end"]),
+])
+def test_tags_end_as_in_browsers(page, want):
+    assert [b.text for b in blocks.leaf_blocks(page)] == want
+
+
+@pytest.mark.parametrize("part", ["<a ", "<!", "<script ", '<p class="x>', "<p t='\">", "</p>", "<p a=", " "])
+def test_broken_pages_are_read_in_linear_time(part):
+    began = time.monotonic()
+    blocks.leaf_blocks("<div>" * 20_000 + "x<p" + part * 100_000 + " a " + part * 100_000)
+    assert time.monotonic() - began < 10
+
+
+def test_elements_far_out_are_seen():
+    deep = "<section class=comments>" + "<div>" * 30 + "<p>text" + "</div>" * 30 + "</section><p>after"
+    inside, after = blocks.leaf_blocks(deep)
+    assert blocks.bucket(".comments") in blocks.path_buckets(inside.path)
+    assert inside.path.marks == {".comments"} and not after.path.marks
+
+
+def test_gradients_of_the_network_are_the_slopes_of_its_loss():
+    rng = np.random.default_rng(4)
+    net = BlockLabeller(5, dense=4, hidden=3, seed=1)
+    net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
+    x, mask = rng.normal(size=(2, 4, 5)), np.array([[1.0, 1, 1, 1], [1, 1, 0, 0]])
+    y = rng.integers(0, 2, (2, 4)).astype(float)
+
+    def loss():
+        p, _ = net.forward(x, mask)
+        return -(mask * (y * np.log(p) + (1 - y) * np.log(1 - p))).sum() / mask.sum()
+
+    for name, slope in net.gradients(x, mask, y).items():
+        flat = net.p[name].reshape(-1)
+        for i in range(0, flat.size, max(1, flat.size // 5)):
+            was, values = flat[i], []
+            for move in (1e-3, -1e-3):
+                flat[i] = was + move
+                values.append(loss())
+            flat[i] = was
+            assert math.isclose((values[0] - values[1]) / 2e-3, slope.reshape(-1)[i], rel_tol=0.02, abs_tol=1e-4)
+
+
+def test_training_reads_whole_pages(monkeypatch):
+    seen = []
+    monkeypatch.setattr(BlockLabeller, "fit", lambda self, s, t: seen.extend(zip(s, t, strict=True)) or self)
+    page = "<body><nav>m</nav><article>" + "<p>text of it</p>" * 500 + "</article><footer>end</footer>"
+    extract.train([page], made=0)
+    assert sum(len(s) for s, _ in seen) == sum(len(t) for _, t in seen) == 502
+    assert max(len(s) for s, _ in seen) <= extract.STRETCH
+    assert sum(t.sum() for _, t in seen) == 500
+
+
+def test_sampled_pages_are_bounded_in_all(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(extract, "train", lambda pages: taken.extend(pages))
+    rows = [(i, "x" * (i + 1)) for i in range(30)] + [(None, None), (77, ""), (5, "x" * 6)]
+    pages = spark.createDataFrame(rows, "page_id long, html string")
+    extract.fit_labeller(pages, "page_id", "html", sample=1_000, chars=10_000)
+    assert sorted(map(len, taken)) == list(range(1, 31))
+    taken.clear()
+    extract.fit_labeller(pages, "page_id", "html", sample=1_000, chars=40)
+    assert 0 < sum(map(len, taken)) <= 40
+    extract.fit_labeller(pages.limit(0), "page_id", "html")
+
+
+def test_extraction_of_nothing_and_of_clashing_columns(spark, labeller):
+    pages = spark.createDataFrame([(1, "u", PAGE, "mine", 5), (1, "u", PAGE, "mine", 5)],
+                                  "page_id long, url string, html string, text string, n_chars int")
+    got = extract.extract(pages, labeller=labeller)
+    assert got.columns == ["page_id", "url", "text", "n_chars"]
+    assert [len(r.text) for r in got.collect()] == [r.n_chars for r in got.collect()]
+    assert all(r.text.startswith("Heading") for r in got.collect())
+    assert extract.extract(pages.limit(0)).count() == 0
+
+
 def brute_components(rows, width):
     sets = {i: set(neardup.shingles(t, width).tolist()) for i, t in rows}
     parent = {i: i for i in sets}
