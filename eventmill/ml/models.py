@@ -89,6 +89,33 @@ def fit_predict(estimator: Estimator, train: DataFrame, test: DataFrame, params=
     return model.transform(test)
 
 
+def feature_names(df: DataFrame, column: str = "features") -> list[str]:
+    """Names of an assembled vector's places, from the metadata its column carries."""
+    attrs = df.schema[column].metadata.get("ml_attr", {}).get("attrs", {})
+    named = sorted((a["idx"], a.get("name", str(a["idx"]))) for kind in attrs.values() for a in kind)
+    return [name for _, name in named]
+
+
+def importances(model, df: DataFrame, column: str = "features") -> DataFrame:
+    """(feature, importance) of a tree model; one row per place of the vector."""
+    weights = model.featureImportances.toArray()
+    names = feature_names(df, column) or [str(i) for i in range(len(weights))]
+    rows = [(n, float(w)) for n, w in zip(names, weights, strict=True)]
+    return df.sparkSession.createDataFrame(rows, "feature string, importance double")
+
+
+def centres(model, df: DataFrame) -> DataFrame:
+    """(cluster, size, centre) of a fitted clustering and the rows it was fitted on."""
+    found = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
+    sizes = model.transform(df).groupBy(F.col("prediction").cast("bigint").alias("cluster")).agg(
+        F.count(F.lit(1)).alias("size")
+    )
+    named = df.sparkSession.createDataFrame(found, "cluster bigint, centre array<double>")
+    return named.join(sizes, "cluster", "left").select(
+        "cluster", F.coalesce("size", F.lit(0)).alias("size"), "centre"
+    )
+
+
 def kmeans(df: DataFrame, k: int = 10, iterations: int = 20, seed: int = 42):
     return Centres(k=k, maxIter=iterations, seed=seed).fit(df)
 

@@ -214,6 +214,25 @@ def clf_logistic(spark, sf_dir):
     return predicted(logistic, binary_vectors(spark, sf_dir), {logistic.maxIter: 30})
 
 
+@query("clf_probability")
+def clf_probability(spark, sf_dir):
+    """Chance of each class for every test row, beside the predicted one."""
+    train, test = vectors(spark, sf_dir)
+    scored = models.fit_predict(models.CLASSIFIERS["random_forest"](), train, test)
+    return scored.select(
+        "vec_id", "label", "prediction", vector_to_array("probability").alias("probability")
+    )
+
+
+@query("clf_importances")
+def clf_importances(spark, sf_dir):
+    """How much each named column of a line decides its return flag in a forest."""
+    lines = features.index_categories(table(spark, sf_dir, "lineitem"), "l_returnflag", "label")
+    rows = features.assemble(lines, [*LINE_FEATURES, "l_extendedprice"]).select("features", "label")
+    model = models.Forest(numTrees=10, maxDepth=5, seed=42).fit(rows)
+    return models.importances(model, rows)
+
+
 # -- regression ----------------------------------------------------------------------
 
 
@@ -274,6 +293,14 @@ def clu_kmeans(spark, sf_dir):
     return assigned.select("vec_id", F.col("prediction").cast("bigint").alias("cluster"))
 
 
+@query("clu_kmeans_centres")
+def clu_kmeans_centres(spark, sf_dir):
+    rows = features.array_features(table(spark, sf_dir, "embeddings"), "embedding").select(
+        "vec_id", "features"
+    )
+    return models.centres(models.kmeans(rows), rows)
+
+
 @query("clu_kmeans_nearest", "SELECT vec_id, true AS nearest FROM embeddings")
 def clu_kmeans_nearest(spark, sf_dir):
     """Every row lies with the centre that is nearest to it, by its own distances."""
@@ -322,45 +349,53 @@ def ratings(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     bought = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
     return bought.groupBy(
-        F.col("o_custkey").cast("int").alias("user"), F.col("l_partkey").cast("int").alias("item")
+        F.col("o_custkey").alias("user"), F.col("l_partkey").alias("item")
     ).agg(F.avg("l_quantity").cast("float").alias("rating"))
 
 
-def busiest(df, key):
-    """Keys to recommend for: the five with most ratings."""
-    return df.groupBy(key).count().orderBy(F.desc("count"), key).limit(5).select(key)
+def busiest(df, key, n=5):
+    """Keys to recommend for: the n with most ratings."""
+    return df.groupBy(key).count().orderBy(F.desc("count"), key).limit(n).select(key)
+
+
+def als_scored(spark, sf_dir, implicit=False):
+    known = recommend.coded(ratings(spark, sf_dir))
+    train, test = hash_split(known.rows, ["user", "item"], [0.9, 0.1], 42)
+    return recommend.als(implicit).fit(train).transform(test)
 
 
 @query("rec_als_explicit")
 def rec_als_explicit(spark, sf_dir):
-    train, test = hash_split(ratings(spark, sf_dir), ["user", "item"], [0.9, 0.1], 42)
-    scored = recommend.als().fit(train).transform(test)
-    return evaluate.regression_metrics(scored, "rating", "prediction")
+    return evaluate.regression_metrics(als_scored(spark, sf_dir), "rating", "prediction")
 
 
 @query("rec_als_implicit")
 def rec_als_implicit(spark, sf_dir):
-    train, test = hash_split(ratings(spark, sf_dir), ["user", "item"], [0.9, 0.1], 42)
-    scored = recommend.als(implicit=True).fit(train).transform(test)
-    return scored.select("user", "item", "prediction")
+    return als_scored(spark, sf_dir, implicit=True).select("user", "item", "prediction")
+
+
+@query("rec_als_factors")
+def rec_als_factors(spark, sf_dir):
+    known = recommend.coded(ratings(spark, sf_dir))
+    return recommend.factors(recommend.als().fit(known.rows), known)
 
 
 @query("rec_top_items")
 def rec_top_items(spark, sf_dir):
-    rated = ratings(spark, sf_dir)
-    return recommend.top_items(recommend.als().fit(rated), busiest(rated, "user"))
+    known = recommend.coded(ratings(spark, sf_dir))
+    return recommend.top_items(recommend.als().fit(known.rows), known, busiest(known.rows, "user"))
 
 
 @query("rec_top_users")
 def rec_top_users(spark, sf_dir):
-    rated = ratings(spark, sf_dir)
-    return recommend.top_users(recommend.als().fit(rated), busiest(rated, "item"))
+    known = recommend.coded(ratings(spark, sf_dir))
+    return recommend.top_users(recommend.als().fit(known.rows), known, busiest(known.rows, "item"))
 
 
 @query("rec_als_grid")
 def rec_als_grid(spark, sf_dir):
     fitted = recommend.als_grid(
-        ratings(spark, sf_dir), [5, 10, 20, 30, 50, 100], [0.01, 0.1, 1.0]
+        recommend.coded(ratings(spark, sf_dir)).rows, [5, 10, 20, 30, 50, 100], [0.01, 0.1, 1.0]
     )
     rows = [
         (*(float(v) for v in point.values()), float(score))
@@ -603,9 +638,11 @@ def model_save_load(spark, sf_dir):
 @query("rec_als_pairs")
 def rec_als_pairs(spark, sf_dir):
     """Predictions joined to the actual ratings they are judged by."""
-    rated = ratings(spark, sf_dir)
+    rated = recommend.coded(ratings(spark, sf_dir)).rows
     model = recommend.als().fit(rated)
-    scored = model.transform(rated.select("user", "item"))
-    joined = scored.join(rated, ["user", "item"])
+    scored = model.transform(rated.drop("rating"))
+    joined = scored.select("user", "item", "prediction").join(
+        rated.select("user", "item", "rating"), ["user", "item"]
+    )
     error = RegressionEvaluator(metricName="rmse", labelCol="rating").evaluate(joined)
     return joined.withColumn("rmse", F.lit(float(error)))

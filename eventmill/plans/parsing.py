@@ -310,7 +310,25 @@ def dim_platform_browser(spark, sf_dir):
     )
 
 
-@query("make_row_key")
+# The usual reflected checksum, folded over the bytes with a table of its 256 steps.
+ROW_KEY_SQL = """
+WITH steps AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)), lambda a, z:
+      CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v
+    FROM (SELECT unnest(range(256))::BIGINT AS i))),
+fed AS (
+  SELECT event_id, epoch_us(ts) // 1000 AS ms, encode(coalesce(user_id::VARCHAR, '') ||
+    coalesce(item_id::VARCHAR, '') || coalesce(user_id::VARCHAR, '') || event_type) AS b FROM {EV})
+SELECT event_id, ms || '_' || xor(list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(b), '..'),
+      lambda x: ('0x' || x)::BIGINT)),
+    lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1])), 4294967295) AS row_key
+FROM fed, steps
+"""
+
+
+@query("make_row_key", ROW_KEY_SQL)
 def make_row_key(spark, sf_dir):
     key = row_key(F.unix_millis("ts"), text("user_id"), text("item_id"), F.col("event_type"))
     return behaviour(spark, sf_dir).select("event_id", key.alias("row_key"))

@@ -6,17 +6,23 @@ from eventmill.operators import aggregates as agg
 from eventmill.operators import topk
 from eventmill.plans.aggregates import WORDS_SQL, customer_totals
 from eventmill.plans.registry import query
+from eventmill.session import work_dir
 from eventmill.sinks.tables import sort_for_key_store
+from eventmill.sources.order import with_position
 from eventmill.sources.tables import table
 
 
 @query(
     "sort_by_count_desc",
-    f"SELECT word, count(*) AS cnt FROM {WORDS_SQL} GROUP BY word ORDER BY cnt DESC, word",
+    f"SELECT *, row_number() OVER (ORDER BY cnt DESC, word) AS position FROM "
+    f"(SELECT word, count(*) AS cnt FROM {WORDS_SQL} GROUP BY word)",
 )
 def sort_by_count_desc(spark, sf_dir):
+    """Sorted, written, and read back with the place each row has in the files."""
     counts = agg.word_counts(table(spark, sf_dir, "documents"), "text")
-    return counts.orderBy(F.desc("cnt"), "word")
+    path = work_dir(spark, "by-count")
+    counts.orderBy(F.desc("cnt"), "word").write.parquet(path)
+    return with_position(spark, path, counts.schema)
 
 
 @query(
@@ -57,7 +63,14 @@ def topk_province_orders(spark, sf_dir):
     return topk.top(totals, "orders", 10, ["province_id"])
 
 
-@query("sort_within_partitions", "SELECT o_custkey, o_orderkey, o_totalprice FROM orders")
+@query(
+    "sort_within_partitions",
+    "SELECT o_custkey, o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_custkey NULLS FIRST, "
+    "o_orderkey NULLS FIRST) AS position FROM orders",
+)
 def sort_within_partitions(spark, sf_dir):
+    """Disjoint ranges, each sorted: the files one after the other are in order."""
     orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
-    return sort_for_key_store(orders, ["o_custkey", "o_orderkey"])
+    path = work_dir(spark, "sorted-orders")
+    sort_for_key_store(orders, ["o_custkey", "o_orderkey"]).write.parquet(path)
+    return with_position(spark, path, orders.schema)

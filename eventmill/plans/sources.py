@@ -10,6 +10,7 @@ from eventmill.plans.registry import query
 from eventmill.session import work_dir
 from eventmill.sinks import tables as sink
 from eventmill.sources import readers
+from eventmill.sources.order import with_position
 from eventmill.sources.tables import SCHEMAS, table, with_item
 
 ORDER_ROWS = "SELECT o_orderkey, o_custkey, o_orderpriority FROM orders"
@@ -249,9 +250,10 @@ def snk_day_table(spark, sf_dir):
 
 @query(
     "snk_sorted_cells",
-    "SELECT CAST(event_id AS VARCHAR) AS row_key, 'info' AS family, u.qualifier, u.value FROM "
+    "SELECT *, row_number() OVER (ORDER BY row_key, qualifier) AS position FROM (SELECT "
+    "CAST(event_id AS VARCHAR) AS row_key, 'info' AS family, u.qualifier, u.value FROM "
     "events, LATERAL (VALUES ('event_type', event_type), ('props', props), "
-    "('user_id', CAST(user_id AS VARCHAR))) u(qualifier, value)",
+    "('user_id', CAST(user_id AS VARCHAR))) u(qualifier, value) WHERE u.value IS NOT NULL)",
 )
 def snk_sorted_cells(spark, sf_dir):
     path = work_dir(spark, "cells")
@@ -259,8 +261,8 @@ def snk_sorted_cells(spark, sf_dir):
         table(spark, sf_dir, "events"), "event_id", "info", ["event_type", "props", "user_id"]
     )
     sink.sort_for_key_store(exploded, ["row_key", "qualifier"]).write.parquet(path)
-    return readers.source(
-        spark, "parquet", path, "row_key string, family string, qualifier string, value string"
+    return with_position(
+        spark, path, "row_key string, family string, qualifier string, value string"
     )
 
 
