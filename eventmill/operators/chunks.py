@@ -2,7 +2,8 @@
 
 ``lag`` and running flags need the rows of a key in time order, but a window
 partitioned by the key alone would put a hot key on one task. Keys with many
-rows are therefore cut into time chunks; all others stay whole. Windows run per
+rows are therefore cut into time chunks; all others stay whole. The hot keys are counted
+once for each step and written down. Windows run per
 (key, chunk); what crosses the chunk borders of a hot key is carried over by a
 summary with one row per (hot key, chunk), whose size is bounded by the time
 range and not by the number of events.
@@ -16,17 +17,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from eventmill.operators.windows import epoch, floor_div
+from eventmill.session import stored
 
 # Ten minutes: a key with a third of a month's 100 TB gives chunks of a few GB.
 CHUNK_SECONDS = 600
 # From this many rows on a key is hot. There can be at most (all rows / HOT_ROWS)
-# hot keys, which bounds their broadcast: one million keys per 10^12 rows.
+# hot keys: one million keys per 10^12 rows.
 HOT_ROWS = 1_000_000
+# So many hot keys may be broadcast; beyond that the join shuffles and AQE splits skew.
+MOST_BROADCAST = 200_000
 
 
 def with_chunk(
@@ -34,13 +38,27 @@ def with_chunk(
 ) -> DataFrame:
     """Add ``_key``, ``_chunk`` (0 for the only chunk of a key that is not hot), ``_hot``."""
     complete = df.dropna(subset=[ts]).withColumn("_key", F.struct(*keys))
-    hot = (
+    hot = hot_keys(complete, hot_rows)
+    flagged = complete.join(hot, "_key", "left")
+    chunk = F.when(F.col("_hot"), floor_div(epoch(ts), seconds)).otherwise(F.lit(0))
+    return flagged.withColumn("_chunk", chunk)
+
+
+def hot_keys(
+    complete: DataFrame, hot_rows: int, most_broadcast: int = MOST_BROADCAST
+) -> DataFrame:
+    """(_key, _hot) of the keys with ``hot_rows`` rows or more, counted once and written.
+
+    Every branch of a step reads the written list. It is broadcast by the exact number of
+    its rows.
+    """
+    seen = Observation()
+    counted = (
         complete.groupBy("_key").agg(F.count(F.lit(1)).alias("_rows"))
         .filter(F.col("_rows") >= hot_rows).select("_key", F.lit(True).alias("_hot"))
     )
-    flagged = complete.join(F.broadcast(hot), "_key", "left")
-    chunk = F.when(F.col("_hot"), floor_div(epoch(ts), seconds)).otherwise(F.lit(0))
-    return flagged.withColumn("_chunk", chunk)
+    hot = stored(counted.observe(seen, F.count(F.lit(1)).alias("keys")), "hot-keys")
+    return F.broadcast(hot) if seen.get["keys"] <= most_broadcast else hot
 
 
 def _attach(rows: DataFrame, carried: DataFrame) -> DataFrame:

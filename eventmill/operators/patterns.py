@@ -20,7 +20,7 @@ from eventmill.operators.chunks import (
     with_run_start,
 )
 from eventmill.operators.windows import epoch, floor_div
-from eventmill.session import work_dir
+from eventmill.session import stored
 
 DAY = 86400
 MICROS = 1_000_000
@@ -191,12 +191,6 @@ def fail_bursts(
     return per_run.filter(fits).select(key, "first_ts", "last_ts", "fails").unionByName(chained)
 
 
-def _stored(df: DataFrame, label: str) -> DataFrame:
-    spark, path = df.sparkSession, work_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def _periods(steps: DataFrame, within: int) -> DataFrame:
     """Periods (_run, first, last, fails) of long runs, by pointer doubling.
 
@@ -209,7 +203,7 @@ def _periods(steps: DataFrame, within: int) -> DataFrame:
     a run.
     """
     seen = Observation()
-    steps = _stored(
+    steps = stored(
         steps.observe(seen, F.max(F.col("at") - F.col("begin")).alias("longest")), "burst-steps"
     )
     longest = seen.get["longest"]
@@ -235,7 +229,7 @@ def _periods(steps: DataFrame, within: int) -> DataFrame:
     rows = to.join(steps.select("_run", "at", (F.col("at") == F.col("begin")).alias("opens")), ["_run", "at"])
     # Periods begin more than ``within`` apart: a run has at most longest // within + 1.
     for _ in range((longest // within).bit_length()):
-        rows = _stored(rows, "burst-pointers")
+        rows = stored(rows, "burst-pointers")
         onward = rows.select("_run", F.col("at").alias("to"), F.col("to").alias("_to"))
         doubled = rows.join(onward, ["_run", "to"], "left").select(
             "_run", "at", F.col("_to").alias("to"), "opens"

@@ -38,13 +38,13 @@ def closed_sql(sql, delay, where="true", column="window_end * 1000000"):
     )
 
 
-def events(spark, sf_dir):
-    use_rocksdb_state(spark)
-    return table_stream(spark, sf_dir, "events")
+def events(spark, sf_dir, disorder=0):
+    """All events in several micro-batches, less than ``disorder`` s out of order."""
+    return replayed(table(spark, sf_dir, "events"), "ts", disorder, per_trigger=4, close=False)
 
 
-def views(spark, sf_dir):
-    return with_item(events(spark, sf_dir)).filter(F.col("event_type") == "view")
+def views(spark, sf_dir, disorder=0):
+    return with_item(events(spark, sf_dir, disorder)).filter(F.col("event_type") == "view")
 
 
 VIEWS = "event_type = 'view'"
@@ -62,7 +62,7 @@ def wm_ascending(spark, sf_dir):
 
 @query("wm_bounded", closed_sql(HOURLY_VIEWS, 10, VIEWS))
 def wm_bounded(spark, sf_dir):
-    stream = windowed.bounded(views(spark, sf_dir), "ts", 10)
+    stream = windowed.bounded(views(spark, sf_dir, 10), "ts", 10)
     return drain.drain_append(windowed.window_counts(stream, "ts", HOUR), "wm-bounded")
 
 
@@ -79,7 +79,7 @@ def wm_periodic_punctuated(spark, sf_dir):
 @query("late_allowed_update", HOURLY_VIEWS)
 def late_allowed_update(spark, sf_dir):
     """Update mode: a window's count is refreshed by late rows while it is open."""
-    stream = windowed.bounded(views(spark, sf_dir), "ts", 10, lateness=60)
+    stream = windowed.bounded(views(spark, sf_dir, 70), "ts", 10, lateness=60)
     batches = drain.drain_batches(
         windowed.window_counts(stream, "ts", HOUR), "late-allowed", "update",
         "cnt bigint, window_end bigint",
@@ -157,7 +157,7 @@ UV = (
 
 @query("win_tumbling_uv_stream", closed_sql(UV, 60, VIEWS))
 def win_tumbling_uv_stream(spark, sf_dir):
-    stream = windowed.bounded(views(spark, sf_dir), "ts", 60)
+    stream = windowed.bounded(views(spark, sf_dir, 60), "ts", 60)
     return drain.drain_append(
         windowed.unique_visitors(stream, "ts", "user_id", HOUR), "uv-stream"
     )
@@ -165,7 +165,7 @@ def win_tumbling_uv_stream(spark, sf_dir):
 
 @query("win_tumbling_uv_bitmap_stream", UV)
 def win_tumbling_uv_bitmap_stream(spark, sf_dir):
-    stream = windowed.bounded(views(spark, sf_dir), "ts", 60)
+    stream = windowed.bounded(views(spark, sf_dir, 60), "ts", 60)
     batches = drain.drain_batches(
         windowed.unique_visitor_bits(stream, "ts", "user_id", HOUR), "uv-bits", "update",
         "window_end bigint, bucket bigint, bits bigint",
@@ -181,7 +181,7 @@ def win_tumbling_uv_bitmap_stream(spark, sf_dir):
     ),
 )
 def win_sliding_pv_stream(spark, sf_dir):
-    stream = windowed.bounded(views(spark, sf_dir), "ts", 60)
+    stream = windowed.bounded(views(spark, sf_dir, 60), "ts", 60)
     return drain.drain_append(windowed.window_counts(stream, "ts", HOUR, 300), "pv-stream")
 
 
@@ -194,7 +194,7 @@ def win_sliding_pv_stream(spark, sf_dir):
 )
 def win_sliding_by_province_stream(spark, sf_dir):
     stream = windowed.bounded(
-        events(spark, sf_dir).withColumnRenamed("event_type", "province"), "ts", 60
+        events(spark, sf_dir, 60).withColumnRenamed("event_type", "province"), "ts", 60
     )
     return drain.drain_append(
         windowed.window_counts(stream, "ts", HOUR, 300, ["province"]), "province-stream"
@@ -211,7 +211,7 @@ def win_sliding_by_province_stream(spark, sf_dir):
 )
 def win_recent_by_region_stream(spark, sf_dir):
     stream = windowed.bounded(
-        events(spark, sf_dir).withColumnRenamed("event_type", "region"), "ts", 60
+        events(spark, sf_dir, 60).withColumnRenamed("event_type", "region"), "ts", 60
     )
     aggs = [
         F.count(F.lit(1)).alias("cnt"),
@@ -244,7 +244,7 @@ def wide_windows(spark, sf_dir, kept, delay, size, slide, keys, label):
     ),
 )
 def win_sliding_total_stream(spark, sf_dir):
-    kept = events(spark, sf_dir).filter(F.col("event_type") != "error")
+    kept = events(spark, sf_dir, 60).filter(F.col("event_type") != "error")
     return wide_windows(spark, sf_dir, kept, 60, HOUR, 10, [], "total-stream")
 
 
@@ -258,7 +258,7 @@ def win_sliding_total_stream(spark, sf_dir):
     ),
 )
 def win_sliding_by_channel_behavior_stream(spark, sf_dir):
-    kept = with_item(events(spark, sf_dir)).filter(F.col("event_type") != "error").select(
+    kept = with_item(events(spark, sf_dir, 60)).filter(F.col("event_type") != "error").select(
         "ts", F.concat(F.lit("channel-"), (F.col("item_id") % 4).cast("string")).alias("channel"),
         F.col("event_type").alias("behavior"),
     )
@@ -276,7 +276,7 @@ def win_sliding_by_channel_behavior_stream(spark, sf_dir):
 )
 def win_sliding_min_stream(spark, sf_dir):
     stream = windowed.bounded(
-        events(spark, sf_dir).withColumnRenamed("user_id", "sensor_id"), "ts", 1
+        events(spark, sf_dir, 1).withColumnRenamed("user_id", "sensor_id"), "ts", 1
     )
     lowest = [F.min("value").alias("min_value")]
     return drain.drain_append(
@@ -318,12 +318,16 @@ def topn_items_per_window_stream(spark, sf_dir):
 @query(
     "topn_urls_per_window_stream",
     closed_sql(
-        top_sql(sliding_sql(600, 5, "window_end, event_type AS url, count(*) AS cnt",
-                            "window_end, event_type"), "url"), 70,
+        top_sql(sliding_sql(600, 5, "window_end, url, count(*) AS cnt", "window_end, url",
+                            source="(SELECT *, concat('/', event_type, '/', item_id) AS url "
+                            "FROM {EV})"), "url"), 70,
     ),
 )
 def topn_urls_per_window_stream(spark, sf_dir):
-    hits = events(spark, sf_dir).withColumnRenamed("event_type", "url")
+    hits = with_item(events(spark, sf_dir, 70)).select(
+        "ts", F.concat(F.lit("/"), "event_type", F.lit("/"), F.col("item_id").cast("string"))
+        .alias("url"),
+    )
     stream = windowed.bounded(hits, "ts", 10, lateness=60)
     panes = drain.drain_append(windowed.window_counts(stream, "ts", 5, keys=["url"]), "url-panes")
     panes = panes.withColumn("_pane", (F.col("window_end") / 5).cast("bigint") - 1)
@@ -365,14 +369,14 @@ TOTAL_SCHEMA = "user_id bigint, total double, cnt bigint"
 
 @query("state_running_total_changed", TOTALS)
 def state_running_total_changed(spark, sf_dir):
-    totals = windowed.running_totals(events(spark, sf_dir), ["user_id"], "value")
+    totals = windowed.running_totals(events(spark, sf_dir, HOUR), ["user_id"], "value")
     batches = drain.drain_batches(totals, "changed-totals", "update", TOTAL_SCHEMA)
     return drain.final_values(batches, ["user_id"])
 
 
 @query("state_running_total_all", TOTALS)
 def state_running_total_all(spark, sf_dir):
-    totals = windowed.running_totals(events(spark, sf_dir), ["user_id"], "value")
+    totals = windowed.running_totals(events(spark, sf_dir, HOUR), ["user_id"], "value")
     batches = drain.drain_batches(totals, "all-totals", "complete", TOTAL_SCHEMA)
     return drain.last_batch(batches)
 
@@ -395,10 +399,10 @@ SIX_HOURS = 6 * HOUR
 
 
 def two_streams(spark, sf_dir, delay=60):
-    pays = events(spark, sf_dir).filter(F.col("event_type") == "signup").select(
+    pays = events(spark, sf_dir, delay).filter(F.col("event_type") == "signup").select(
         "user_id", F.col("event_id").alias("pay_id"), F.col("ts").alias("pay_ts")
     )
-    receipts = events(spark, sf_dir).filter(F.col("event_type") == "purchase").select(
+    receipts = events(spark, sf_dir, delay).filter(F.col("event_type") == "purchase").select(
         "user_id", F.col("event_id").alias("receipt_id"), F.col("ts").alias("receipt_ts")
     )
     return (

@@ -92,6 +92,13 @@ def work_dir(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_root(spark), f"{label}-{uuid.uuid4().hex}")
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back, so that it is worked out once."""
+    path = work_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's own size estimate; it errs on the large side, runs no job."""
     stats = df._jdf.queryExecution().optimizedPlan().stats()

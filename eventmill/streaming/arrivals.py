@@ -35,16 +35,21 @@ def heartbeat(df: DataFrame, ts: str, later: int = FAR_SECONDS) -> DataFrame:
 
 
 def deliver(
-    df: DataFrame, ts: str, delay: int, file_rows: int = FILE_ROWS, least_files: int = LEAST_FILES
+    df: DataFrame, ts: str, delay: int, file_rows: int = FILE_ROWS, least_files: int = LEAST_FILES,
+    close: bool = True,
 ) -> str:
-    """Write ``df`` as files in order of arrival, then the heartbeat; the folder's path."""
+    """Write ``df`` as files in order of arrival, then the heartbeat; the folder's path.
+
+    Without ``close`` there is no heartbeat: what the rows leave open stays open.
+    """
     path = work_dir(df.sparkSession, "arrivals")
     found = df.agg(F.count("*").alias("n")).first()["n"]
     files = max(least_files, math.ceil(found / file_rows))
     at = F.unix_micros(ts)
     shares = [i / files for i in range(1, files)]
     bounds = df.agg(F.percentile_approx(at, shares, 10 * files)).first()[0] or []
-    arrival = at + F.pmod(F.xxhash64(*df.columns), F.lit(delay * MICROS))
+    late = F.pmod(F.xxhash64(*df.columns), F.lit(delay * MICROS)) if delay else F.lit(0)
+    arrival = at + late
     number = F.lit(0)
     for bound in sorted(set(bounds)):
         number = number + F.when(arrival >= bound, 1).otherwise(0)
@@ -52,7 +57,8 @@ def deliver(
     # A file source takes files by their time, so each is written before the next.
     for i in range(len(set(bounds)) + 1):
         dealt.filter(F.col("_file") == i).drop("_file").coalesce(1).write.mode("append").parquet(path)
-    heartbeat(df, ts).coalesce(1).write.mode("append").parquet(path)
+    if close:
+        heartbeat(df, ts).coalesce(1).write.mode("append").parquet(path)
     return path
 
 
