@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from eventmill.llm.common import documents, stored, unit_interval, words
+from eventmill.session import broadcast_if_small
 
 BLOCKS = 1_024
 SECTIONS = 64
@@ -122,8 +123,10 @@ def mix(
         F.pmod(F.xxhash64(F.lit("block"), identity, key), F.lit(blocks)).cast("int").alias("_block"),
         unit_interval(F.lit("place"), identity, key).alias("_place"),
     )
+    # Words are counted once for all sums; the texts are not carried along.
+    sizes = stored(sized.select("_key", "_block", "_place", "mix_tokens"), "mix-sizes")
     held = stored(
-        sized.groupBy("_key", "_block").agg(F.sum("mix_tokens").alias("tokens")), "mix-blocks"
+        sizes.groupBy("_key", "_block").agg(F.sum("mix_tokens").alias("tokens")), "mix-blocks"
     )
     sources = held.groupBy("_key").agg(F.sum("tokens").alias("tokens"))
     found = find_temperature(sources, entropy, repetitions, budget)
@@ -163,12 +166,10 @@ def mix(
         Window.unboundedPreceding, -1
     )
     partial = F.col("_left") < F.col("tokens") - 0.5
+    last = stored(schedule.filter(partial).select("_key", "_block", "epoch", "_left"), "mix-last")
     cut = stored(
-        sized.select("_key", "_block", "_place", "mix_tokens")
-        .groupBy("_key", "_block", "_place").agg(F.sum("mix_tokens").alias("_n"))
-        .join(
-            schedule.filter(partial).select("_key", "_block", "epoch", "_left"), ["_key", "_block"]
-        )
+        sizes.join(broadcast_if_small(last), ["_key", "_block"])
+        .groupBy("_key", "_block", "epoch", "_left", "_place").agg(F.sum("mix_tokens").alias("_n"))
         .withColumn("_sum", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
         .filter(F.col("_sum") < F.col("_left"))
         .groupBy("_key", "_block", "epoch").agg(F.max("_place").alias("_last")),
