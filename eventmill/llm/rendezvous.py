@@ -53,8 +53,9 @@ def with_slots(df: DataFrame, key: str, order: Sequence[str] = ()) -> DataFrame:
     """Number the rows of every shard from 0 without gaps.
 
     Rows are numbered inside (shard, hash bucket), so no task holds a shard; the
-    offsets come from counts, 4,096 rows per shard at most, which bounds the
-    broadcast and the running sum.
+    offsets come from counts, 4,096 rows per shard at most, which bounds the running
+    sum. They meet the rows by the partitioning of the numbering; whether they are
+    broadcast instead is left to their size.
     """
     text = key_text(F.col(key))
     df = df.withColumn("_bucket", F.substring(F.md5(text), 1, SLOT_DIGITS))
@@ -68,7 +69,7 @@ def with_slots(df: DataFrame, key: str, order: Sequence[str] = ()) -> DataFrame:
     inside = Window.partitionBy("shard", "_bucket").orderBy(key, *order)
     return (
         df.withColumn("_rank", F.row_number().over(inside))
-        .join(F.broadcast(offsets), ["shard", "_bucket"])
+        .join(offsets, ["shard", "_bucket"])
         .withColumn("slot", F.col("_first") + F.col("_rank") - 1)
         .drop("_bucket", "_rank", "_first")
     )
