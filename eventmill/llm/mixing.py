@@ -162,7 +162,7 @@ def mix(
         "mix-schedule",
     )
     # The block in which the budget runs out is cut at a place, found from its rows alone.
-    inside = Window.partitionBy("_key", "epoch", "_block").orderBy("_place").rangeBetween(
+    inside = Window.partitionBy("_key", "epoch", "_block").orderBy("_place").rowsBetween(
         Window.unboundedPreceding, -1
     )
     partial = F.col("_left") < F.col("tokens") - 0.5
@@ -177,14 +177,15 @@ def mix(
     )
     turn = stored(
         schedule.join(cut, ["_key", "_block", "epoch"], "left").select(
-            "_key", "_block", "epoch", "weight", "_turns", "_whole", "_before", "tokens",
-            F.coalesce("_last", F.lit(2.0)).alias("_last"),
+            "_key", "_block", "epoch", "weight", "_turns", "_whole", "_before",
+            F.least("tokens", "_left").alias("_spent"),
+            F.coalesce("_last", F.lit(1.0)).alias("_last"),
         ),
         "mix-turns",
     )
-    order = (
-        F.col("epoch") + (F.col("_before") + F.col("_place") * F.col("tokens")) / F.col("_whole")
-    ) / F.col("_turns")
+    # A place is a share of what its block spends, so the order ends at 1 in a cut block too.
+    within = F.col("_place") / F.greatest("_last", F.lit(1e-300)) * F.col("_spent")
+    order = (F.col("epoch") + (F.col("_before") + within) / F.col("_whole")) / F.col("_turns")
     return (
         sized.join(turn, ["_key", "_block"]).filter(F.col("_place") <= F.col("_last"))
         .withColumn("mix_order", order)
