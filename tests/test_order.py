@@ -18,6 +18,18 @@ def test_positions_follow_parts_and_pieces(spark, tmp_path):
     assert sorted((r.id, r.position) for r in got) == [(i, i + 1) for i in range(1_000)]
 
 
+def test_positions_whatever_the_name_of_the_write(spark, tmp_path):
+    for piece, first in enumerate((0, 7)):
+        written = tmp_path / f"w{piece}"
+        spark.range(first, first + 7).coalesce(1).write.parquet(str(written))
+        (part,) = written.glob("part-*.parquet")
+        target = tmp_path / "rows" / f"part-00000-0a1b2c3d-c4e5-4a6b-c789-0123456789ab-c00{piece}.zstd.parquet"
+        target.parent.mkdir(exist_ok=True)
+        target.write_bytes(part.read_bytes())
+    got = with_position(spark, str(tmp_path / "rows"), "id long").collect()
+    assert sorted((r.id, r.position) for r in got) == [(i, i + 1) for i in range(14)]
+
+
 def test_dense_numbers_of_long_ids(spark):
     ids = [-(2**62), -1, 0, 5, 2**31, 2**40, 2**62]
     df = spark.createDataFrame([(i,) for i in [*ids, None, 5, 2**62]], "user long")
