@@ -7,11 +7,13 @@ from conftest import rows
 from pyspark.sql import functions as F
 from test_patterns_brute import SECOND, make_log, play
 
+import __spark_entry__ as entry_module
 from eventmill.operators import windows
 from eventmill.session import use_rocksdb_state, work_dir
 from eventmill.sources.readers import stream_source
 from eventmill.streaming import drain, firing, ordered, recovery, windowed
 
+QUERIES = entry_module.queries()
 SCHEMA = "id bigint, user bigint, t bigint, kind string, value double"
 DELAY = 30
 
@@ -363,3 +365,14 @@ def test_windows_fire_again_for_late_rows_until_they_expire(spark):
     # The window of the last row is still open.
     assert counted + len(late) == 8 and [r[4] for r in late] == [7]
     assert sum(dropped.rows.values()) == 0
+
+
+def test_words_of_a_table_in_several_files(spark, tmp_path):
+    """A table may be a folder of files as well as one file."""
+    rows = spark.createDataFrame(
+        [(i, 0, "user", "one two" if i % 2 else "two") for i in range(10)],
+        "conv_id long, turn long, role string, text string",
+    )
+    rows.repartition(3).write.parquet(str(tmp_path / "conversations.parquet"))
+    got = QUERIES["state_word_count"](spark, str(tmp_path)).collect()
+    assert sorted((r.word, r.cnt) for r in got) == [("one", 5), ("two", 10)]
