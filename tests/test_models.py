@@ -81,3 +81,21 @@ def test_fitted_models_refer_to_no_session(observed, sf_dir):
         model = models.CLASSIFIERS[name]().fit(train)
         assert not model.hasSummary
         observed._jvm.java.io.ObjectOutputStream(out).writeObject(model._java_obj)
+
+
+def test_coded_ratings_are_worked_out_once(spark, sf_dir):
+    """Fits and predictions read stored rows; a pair's prediction needs no further join."""
+    known = recommend.coded(plans.ratings(spark, sf_dir))
+    plan = known.rows._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+    judged = QUERIES["rec_als_pairs"](spark, sf_dir)
+    assert "Join" not in judged._jdf.queryExecution().executedPlan().toString()
+    assert judged.columns == ["user", "item", "prediction", "rating", "rmse"]
+
+
+def test_grid_scores_every_point(spark):
+    rows = [(u, i, float((u * i) % 5 + 1)) for u in range(12) for i in range(9)]
+    known = recommend.coded(spark.createDataFrame(rows, "user long, item long, rating float"))
+    got = recommend.als_grid(known.rows, [2, 3], [0.1, 1.0], 2)
+    assert [r[:2] for r in got] == [(2.0, 0.1), (2.0, 1.0), (3.0, 0.1), (3.0, 1.0)]
+    assert all(score > 0 for *_, score in got)
