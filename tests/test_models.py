@@ -99,3 +99,24 @@ def test_grid_scores_every_point(spark):
     got = recommend.als_grid(known.rows, [2, 3], [0.1, 1.0], 2)
     assert [r[:2] for r in got] == [(2.0, 0.1), (2.0, 1.0), (3.0, 0.1), (3.0, 1.0)]
     assert all(score > 0 for *_, score in got)
+
+
+def test_folds_hold_vectors_not_texts(spark, sf_dir, monkeypatch):
+    held, validated = [], models.cross_validated
+
+    def seen(estimator, grid, evaluator, train, folds=3):
+        held.extend(train.columns)
+        return validated(estimator, grid, evaluator, train, folds)
+
+    monkeypatch.setattr(models, "cross_validated", seen)
+    got = QUERIES["tune_cross_validate"](spark, sf_dir).collect()
+    assert held == ["doc_id", "label", "hashed_10", "hashed_100", "hashed_1000"]
+    assert [(r.features, r.regularisation) for r in got] == [
+        (n, x) for n in (10.0, 100.0, 1000.0) for x in (0.1, 0.01)
+    ]
+
+
+def test_sketch_is_not_kept_for_every_user(spark, sf_dir):
+    plan = QUERIES["agg_approx_distinct"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    by_user = [x for x in plan.splitlines() if "keys=[" in x and "user_id" in x.split("]")[0]]
+    assert by_user and not [x for x in by_user if "approx_count_distinct" in x]
