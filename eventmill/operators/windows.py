@@ -98,6 +98,51 @@ def top_n_per_window(
     )
 
 
+def top_n_of_panes(
+    panes: DataFrame,
+    size: int,
+    slide: int,
+    n: int,
+    by: str,
+    key: str,
+    aggs: dict[str, str],
+    until: int | None = None,
+    block: int = 64,
+) -> DataFrame:
+    """The n largest keys of every window, straight from pane partials.
+
+    Panes are sent to the blocks of ``block`` windows that they reach into, a few at
+    most; there they are expanded, merged and ranked. So panes are shuffled and not
+    their many windows. ``until`` leaves out windows that end later (epoch seconds).
+    """
+    pane = math.gcd(size, slide)
+    first = -floor_div(-(F.col("_pane") + 1) * pane, slide)
+    last = floor_div(F.col("_pane") * pane + size, slide)
+    reached = panes.withColumn("_first", first).withColumn("_last", last).filter("_first <= _last")
+    blocks = F.sequence(floor_div(F.col("_first"), block), floor_div(F.col("_last"), block))
+    parts = int(panes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    inside = F.sequence(
+        F.greatest("_first", F.col("_block") * block),
+        F.least("_last", (F.col("_block") + 1) * block - 1),
+    )
+    ends = (
+        reached.withColumn("_block", F.explode(blocks))
+        .repartition(parts, "_block")
+        .withColumn("_end", F.explode(inside))
+        .withColumn("window_end", F.col("_end") * slide)
+    )
+    if until is not None:
+        ends = ends.filter(F.col("window_end") <= until)
+    counts = ends.groupBy("_block", "window_end", key).agg(
+        *[_MERGE[how](name).alias(name) for name, how in aggs.items()]
+    )
+    order = W.partitionBy("_block", "window_end").orderBy(F.desc(by), key)
+    return (
+        counts.withColumn("rank_no", F.row_number().over(order)).filter(F.col("rank_no") <= n)
+        .drop("_block")
+    )
+
+
 def unique_visitors(df: DataFrame, ts: str, user: str, size: int) -> DataFrame:
     """Exact distinct users per tumbling window."""
     return df.groupBy(window_end(ts, size).alias("window_end")).agg(

@@ -56,8 +56,9 @@ def topn_urls_per_window(spark, sf_dir):
     hits = behaviour(spark, sf_dir).withColumn(
         "url", F.concat(F.lit("/"), "event_type", F.lit("/"), F.col("item_id").cast("string"))
     )
-    counts = win.sliding_aggregate(hits, "ts", MINUTES10, 5, ["url"])
-    top = win.top_n_per_window(counts, 20, "cnt", ["url"])
+    pane = win.floor_div(win.epoch("ts"), 5).alias("_pane")
+    panes = hits.groupBy("url", pane).agg(F.count(F.lit(1)).alias("cnt"))
+    top = win.top_n_of_panes(panes, MINUTES10, 5, 20, "cnt", "url", {"cnt": "count"})
     return top.select("window_end", "url", "cnt", F.col("rank_no").cast("bigint"))
 
 
