@@ -11,7 +11,7 @@ import __spark_entry__ as entry_module
 from eventmill.operators import windows
 from eventmill.session import use_rocksdb_state, work_dir
 from eventmill.sources.readers import stream_source
-from eventmill.streaming import drain, firing, ordered, recovery, windowed
+from eventmill.streaming import arrivals, drain, firing, ordered, recovery, windowed
 
 QUERIES = entry_module.queries()
 SCHEMA = "id bigint, user bigint, t bigint, kind string, value double"
@@ -376,3 +376,29 @@ def test_words_of_a_table_in_several_files(spark, tmp_path):
     rows.repartition(3).write.parquet(str(tmp_path / "conversations.parquet"))
     got = QUERIES["state_word_count"](spark, str(tmp_path)).collect()
     assert sorted((r.word, r.cnt) for r in got) == [("one", 5), ("two", 10)]
+
+
+def test_ranks_of_blocks_are_ranks_of_windows(spark):
+    """Panes, not their windows, are shuffled; the result is that of merging first."""
+    rnd = random.Random(3)
+    log = [(f"u{rnd.randrange(9)}", rnd.randrange(-40, 400)) for _ in range(600)]
+    panes = spark.createDataFrame(log, "url string, _pane bigint").groupBy("url", "_pane").count()
+    panes = panes.withColumnRenamed("count", "cnt")
+    merged = windows.merge_panes(panes, 60, 5, ["url"], {"cnt": "count"}).filter("window_end <= 1500")
+    expected = windows.top_n_per_window(merged, 3, "cnt", ["url"])
+    got = windows.top_n_of_panes(panes, 60, 5, 3, "cnt", "url", {"cnt": "count"}, 1500, block=7)
+    columns = ["window_end", "url", "cnt", "rank_no"]
+    assert rows(got.select(columns)) == rows(expected.select(columns))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in plan.splitlines() if "Exchange" in x and "window_end" in x]
+
+
+def test_replay_deals_rows_in_one_pass(spark):
+    day = spark.range(900).selectExpr("id", "timestamp_seconds(id * 60) AS ts")
+    day = day.unionByName(spark.sql("SELECT -1L AS id, CAST(NULL AS TIMESTAMP) AS ts"))
+    path = arrivals.deliver(day, "ts", 3600, least_files=5)
+    dealt = spark.read.parquet(path + "-dealt")
+    assert dealt.count() == 901 and dealt.select("_file").distinct().count() == 5
+    got = spark.read.schema(day.schema).parquet(path).withColumn("name", F.col("_metadata.file_name"))
+    assert sorted(r.id for r in got.filter("id IS NOT NULL").collect()) == list(range(-1, 900))
+    assert got.select("name").distinct().count() == 6  # the last is the heartbeat
