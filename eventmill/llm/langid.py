@@ -36,6 +36,7 @@ RIDGE = 1e-2
 SHARPNESS = 6.0
 UNKNOWN = "und"
 CHUNK = 1 << 16  # characters hashed at a time
+KERNEL_ROWS = 256  # rows that are numbers, not bits, at a time
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -86,8 +87,12 @@ class KernelRidge:
 
 
 def kernel(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    a, b = a.astype(np.float64), b.astype(np.float64)
-    return (a @ b.T) / np.sqrt(np.outer(np.maximum(1, a.sum(1)), np.maximum(1, b.sum(1))))
+    """Rows in blocks: counts below 2^24 are exact in single precision, and few are wide."""
+    right = b.T.astype(np.float32)
+    common = np.empty((len(a), len(b)), np.float64)
+    for i in range(0, len(a), KERNEL_ROWS):
+        common[i : i + KERNEL_ROWS] = a[i : i + KERNEL_ROWS].astype(np.float32) @ right
+    return common / np.sqrt(np.outer(np.maximum(1, a.sum(1)), np.maximum(1, b.sum(1))))
 
 
 def fit_kernel_ridge(
@@ -168,8 +173,9 @@ def fit_languages(
         .toPandas()
         .sort_values(["order", "name"], kind="stable")
     )
-    bits = [np.unpackbits(np.frombuffer(b, np.uint8)).astype(bool) for b in got["bits"]]
-    rows = np.stack(bits) if bits else np.zeros((0, buckets), bool)
+    rows = np.empty((len(got), buckets), bool)
+    for i, b in enumerate(got["bits"]):
+        rows[i] = np.unpackbits(np.frombuffer(b, np.uint8))
     return fit_kernel_ridge(rows, list(got["name"]), landmarks, ridge, max_n)
 
 

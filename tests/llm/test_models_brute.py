@@ -188,3 +188,18 @@ def test_scores_equal_the_kernel_ridge_regression():
         solved = np.linalg.lstsq(left, right, rcond=None)[0]
         want = np.c_[features, np.ones(90)] @ solved
         assert np.allclose(model.scores(rows)[:, at], want, atol=2e-4)
+
+
+def test_kernel_takes_few_rows_wide():
+    import tracemalloc
+
+    from eventmill.llm import langid
+
+    a = np.random.default_rng(1).random((1500, 8192)) < 0.1
+    b = a[:64]
+    wide = (a.astype(float) @ b.astype(float).T) / np.sqrt(np.outer(a.sum(1), b.sum(1)))
+    tracemalloc.start()
+    got = langid.kernel(a, b)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (got == wide).all() and peak < 40 << 20
