@@ -11,7 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
-from eventmill.ml import evaluate, features, models, recommend
+from eventmill.ml import evaluate, features, forest, models, recommend
 from eventmill.ml import patterns as fpm
 from eventmill.operators.rows import hash_split
 from eventmill.plans.registry import query
@@ -175,6 +175,11 @@ def predicted(estimator, parts, params=None):
     )
 
 
+def scored_by_forest(spark, sf_dir):
+    train, test = vectors(spark, sf_dir)
+    return forest.fit_predict(models.CLASSIFIERS["random_forest"](), train, test)
+
+
 @query("clf_naive_bayes")
 def clf_naive_bayes(spark, sf_dir):
     """Language of a text from its weighted terms."""
@@ -194,7 +199,7 @@ def clf_decision_tree(spark, sf_dir):
 
 @query("clf_random_forest")
 def clf_random_forest(spark, sf_dir):
-    return predicted(models.CLASSIFIERS["random_forest"](), vectors(spark, sf_dir))
+    return evaluate.confusion(scored_by_forest(spark, sf_dir), "label", "prediction")
 
 
 @query("clf_gbt")
@@ -217,9 +222,7 @@ def clf_logistic(spark, sf_dir):
 @query("clf_probability")
 def clf_probability(spark, sf_dir):
     """Chance of each class for every test row, beside the predicted one."""
-    train, test = vectors(spark, sf_dir)
-    scored = models.fit_predict(models.CLASSIFIERS["random_forest"](), train, test)
-    return scored.select(
+    return scored_by_forest(spark, sf_dir).select(
         "vec_id", "label", "prediction", vector_to_array("probability").alias("probability")
     )
 
