@@ -9,7 +9,8 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
-from eventmill.ml import models, recommend
+from eventmill.functions.scalar import normalize_tokens
+from eventmill.ml import features, models, recommend
 from eventmill.plans import models as plans
 
 QUERIES = entry_module.queries()
@@ -120,3 +121,40 @@ def test_sketch_is_not_kept_for_every_user(spark, sf_dir):
     plan = QUERIES["agg_approx_distinct"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     by_user = [x for x in plan.splitlines() if "keys=[" in x and "user_id" in x.split("]")[0]]
     assert by_user and not [x for x in by_user if "approx_count_distinct" in x]
+
+
+def test_words_are_counted_before_they_are_grouped(spark):
+    rows = [(["b", "a", "a"],), (["", "é"],), ([],), (None,)] * 500
+    counts = features.word_counts(spark.createDataFrame(rows, "tokens array<string>"), "tokens")
+    assert dict(map(tuple, counts.collect())) == {"a": 1000, "b": 500, "": 500, "é": 500}
+    grouped = counts._jdf.queryExecution().executedPlan().toString()
+    assert "Generate explode" not in grouped
+
+
+def test_common_word_is_found_without_a_row_for_every_word(spark, tmp_path, monkeypatch):
+    rows = [(n, "b a. a, a B c") for n in range(20)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(
+        str(tmp_path / "documents.parquet")
+    )
+    counted, count = [], features.word_counts
+
+    def seen(df, tokens):
+        counted.append(count(df, tokens))
+        return counted[-1]
+
+    monkeypatch.setattr(features, "word_counts", seen)
+    got = QUERIES["feat_word2vec_synonyms"](spark, str(tmp_path)).collect()
+    assert dict(map(tuple, counted[0].collect())) == {"a": 60, "b": 40, "c": 20}
+    assert {r.word for r in got} == {"b", "c"}
+
+
+def test_words_are_those_of_the_characters(spark):
+    texts = ["", " ", ".,", "A.b,C", " x\t\ty\n\x0bz\x0c\r", "a\u00a0b\u2003c", "É, ß. İ", "..a,,b",
+             None]
+    rows = spark.createDataFrame([(n, t) for n, t in enumerate(texts)], "n int, text string")
+    plain = F.array_remove(F.split(F.translate(F.lower("text"), ",.", ""), r"\s+"), "")
+    words = rows.select("n", normalize_tokens("text").alias("got"), plain.alias("want"))
+    assert not words.filter(~F.col("got").eqNullSafe(F.col("want"))).collect()
+    assert words.filter("n = 4").first()["got"] == ["x", "y", "z"]
+    mended = rows.select(normalize_tokens("text"))._jdf.queryExecution().analyzed().toString()
+    assert "translate" not in mended
