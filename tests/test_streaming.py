@@ -402,3 +402,64 @@ def test_replay_deals_rows_in_one_pass(spark):
     got = spark.read.schema(day.schema).parquet(path).withColumn("name", F.col("_metadata.file_name"))
     assert sorted(r.id for r in got.filter("id IS NOT NULL").collect()) == list(range(-1, 900))
     assert got.select("name").distinct().count() == 6  # the last is the heartbeat
+
+
+@pytest.mark.parametrize("name", sorted(RULES))
+def test_keys_of_a_group_keep_their_own_state(spark, name):
+    """Groups change nothing but the number of calls; a null key is a key as any other."""
+    rule, _ = RULES[name]
+    log = make_log(31, n=240)
+    some = {r[1] for r in log[:1]}
+    batches = [
+        [(i, None if u in some else u, t, k, v) for i, u, t, k, v in batch]
+        for batch in shuffled(log, 32)
+    ]
+    stream = ordered.apply_rule(
+        feed(spark, batches), ("user",), "ts", rule, DELAY, row_id="id", kind="kind",
+        value="value", slice_seconds=50, groups=2,
+    )
+    path = work_dir(spark, "grouped-" + name)
+    drain.start_append(stream, path, path + "-checkpoint").awaitTermination()
+    got = spark.read.schema(stream.schema).parquet(path)
+    limit = max(r[2] for r in log) - DELAY
+    want = play(rule, [r for r in log if r[2] <= limit], limit)
+    if got.filter("user IS NULL").count():
+        got = got.fillna(some.pop(), ["user"])
+    assert rows(got) == want and want
+    state = spark.read.format("statestore").option("stateVarName", "memory").load(path + "-checkpoint")
+    assert state.count() <= 2
+
+
+def test_closed_keys_leave_their_group():
+    processor = ordered.GroupedProcessor(ordered.RateLimitRule(3, 100), ("user", "kind"), 1000)
+    handle = Handle()
+    processor.init(handle)
+    rows_in = [
+        {"us": t * SECOND, "row_id": t, "kind": "a", "value": None, "user": user}
+        for t, user in ((10, 1), (20, None), (30, 1), (150, 2))
+    ]
+    processor.handleInputRows((0,), iter(rows_in), None)
+    assert handle.timers == {10_000}
+
+    def wake(at):
+        fired = min(handle.timers)
+        out = list(processor.handleExpiredTimer((0,), Times(at * 1000), Times(fired)))
+        handle.timers.discard(fired)
+        return [(r.user, r.kind, r.event_id, r.nth) for r in out]
+
+    assert wake(40) == [(1, "a", 10, 1), (None, "a", 20, 1), (1, "a", 30, 2)]
+    assert "[1, " in handle.value[0] and handle.timers == {100_000}
+    assert wake(120) == [] and handle.value[0] == "null" and handle.timers == {150_000}
+
+
+def test_registered_rules_run_in_groups(spark, sf_dir, monkeypatch):
+    seen = []
+    plain = ordered.apply_rule
+
+    def noted(*args, **settings):
+        seen.append(settings.get("groups"))
+        return plain(*args, **settings)
+
+    monkeypatch.setattr(ordered, "apply_rule", noted)
+    assert QUERIES["state_rate_limit_blacklist_stream"](spark, sf_dir).count()
+    assert seen and all(seen)
