@@ -2,6 +2,7 @@
 
 import collections
 import math
+import threading
 
 import pytest
 from pyspark.ml.feature import HashingTF
@@ -158,3 +159,33 @@ def test_words_are_those_of_the_characters(spark):
     assert words.filter("n = 4").first()["got"] == ["x", "y", "z"]
     mended = rows.select(normalize_tokens("text"))._jdf.queryExecution().analyzed().toString()
     assert "translate" not in mended
+
+
+def test_fit_drops_the_exchange_of_past_iterations(spark):
+    """Eight iterations exchange factors sixteen times; few of these are kept."""
+    rows = [(u, i, float((u * i) % 5 + 1)) for u in range(12) for i in range(9)]
+    known = recommend.coded(spark.createDataFrame(rows, "user long, item long, rating float"))
+    shuffles = spark.sparkContext._jsc.sc().env().mapOutputTracker().shuffleStatuses()
+    before = shuffles.size()
+    model = recommend.fitted(recommend.als(rank=2, iterations=8), known.rows)
+    assert shuffles.size() - before <= 10 and model.rank == 2
+
+
+def test_shares_bound_what_runs_together():
+    share, running, seen, lock = recommend.Share(10), [0], [], threading.Lock()
+
+    def work(weight):
+        with share.of(weight):
+            with lock:
+                running[0] += min(weight, 10)
+                seen.append(running[0])
+            threading.Event().wait(0.02)
+            with lock:
+                running[0] -= min(weight, 10)
+
+    threads = [threading.Thread(target=work, args=(w,)) for w in (10, 5, 5, 3, 2, 20, 10, 5, 4)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join(10)
+    assert len(seen) == len(threads) and max(seen) == 10
