@@ -189,3 +189,22 @@ def test_shares_bound_what_runs_together():
     for t in threads:
         t.join(10)
     assert len(seen) == len(threads) and max(seen) == 10
+
+
+def test_blocks_of_a_fit_are_bounded(spark, monkeypatch):
+    rows = [(u, i, float((u * i) % 5 + 1)) for u in range(20) for i in range(9)]
+    known = recommend.coded(spark.createDataFrame(rows, "user long, item long, rating float"))
+    seen = []
+    fit = recommend.ALS.fit
+
+    def noted(self, dataset, params=None):
+        seen.append({param.name: value for param, value in params.items()})
+        return fit(self, dataset, params)
+
+    monkeypatch.setattr(recommend.ALS, "fit", noted)
+    few = recommend.fitted(recommend.als(rank=2), known.rows)
+    monkeypatch.setattr(recommend, "BLOCK_RATINGS", 15)
+    many = recommend.fitted(recommend.als(rank=2), known.rows)
+    assert seen == [{}, {"numUserBlocks": 12, "numItemBlocks": 12}]
+    assert few.userFactors.count() == many.userFactors.count() == 20
+    assert many.transform(known.rows).count() == len(rows)
